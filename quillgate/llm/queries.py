@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import clean, table
 from . import cross_split as x
+from . import eval_leaks as lk
 from . import grouped_splits as g
+from . import mixing
 
 
 def _groups(s, d):
@@ -51,7 +53,31 @@ def p3_report(s, d):
     return x.overlap_report(table(s, d, "dataset_records"), table(s, d, "validator"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p3_class_pairs": p3_class_pairs, "p3_coverage": p3_coverage, "p3_report": p3_report, "p1_found": p1_found, "p1_splits": p1_splits, "p1_report": p1_report}
+def _p6(s, d):
+    return table(s, d, "documents"), table(s, d, "eval_items")
+
+
+def p6_found(s, d):
+    return lk.eval_leaks(*_p6(s, d)).select("doc_id", "item_id").distinct()
+
+
+def p6_passages(s, d):
+    return lk.eval_leaks(*_p6(s, d))
+
+
+def p6_report(s, d):
+    return lk.leak_report(*_p6(s, d))
+
+
+def p7_mix(s, d):
+    return mixing.Mix(table(s, d, "documents"), table(s, d, "mix_weights")).records()
+
+
+def p7_report(s, d):
+    return mixing.Mix(table(s, d, "documents"), table(s, d, "mix_weights")).report()
+
+
+QUERIES = {"p6_found": p6_found, "p6_passages": p6_passages, "p6_report": p6_report, "p7_mix": p7_mix, "p7_report": p7_report, "p3_found": p3_found, "p3_classes": p3_classes, "p3_class_pairs": p3_class_pairs, "p3_coverage": p3_coverage, "p3_report": p3_report, "p1_found": p1_found, "p1_splits": p1_splits, "p1_report": p1_report}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _PRESENT = "SELECT DISTINCT record_id, '{0}' AS kind, trim({0}, " + _B + ") AS value FROM record_identity WHERE {0} IS NOT NULL AND NOT regexp_full_match(trim({0}, " + _B + "), '([^:]*:)?0*')"
