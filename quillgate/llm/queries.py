@@ -9,6 +9,7 @@ from . import cross_split as x
 from . import eval_leaks as lk
 from . import grouped_splits as g
 from . import mixing
+from . import text_quality as q
 
 
 def _groups(s, d):
@@ -77,7 +78,15 @@ def p7_report(s, d):
     return mixing.Mix(table(s, d, "documents"), table(s, d, "mix_weights")).report()
 
 
-QUERIES = {"p6_found": p6_found, "p6_passages": p6_passages, "p6_report": p6_report, "p7_mix": p7_mix, "p7_report": p7_report, "p3_found": p3_found, "p3_classes": p3_classes, "p3_class_pairs": p3_class_pairs, "p3_coverage": p3_coverage, "p3_report": p3_report, "p1_found": p1_found, "p1_splits": p1_splits, "p1_report": p1_report}
+def p8_found(s, d):
+    return q.Quality(table(s, d, "documents")).found()
+
+
+def p8_stats(s, d):
+    return q.Quality(table(s, d, "documents")).table()
+
+
+QUERIES = {"p8_found": p8_found, "p8_stats": p8_stats, "p6_found": p6_found, "p6_passages": p6_passages, "p6_report": p6_report, "p7_mix": p7_mix, "p7_report": p7_report, "p3_found": p3_found, "p3_classes": p3_classes, "p3_class_pairs": p3_class_pairs, "p3_coverage": p3_coverage, "p3_report": p3_report, "p1_found": p1_found, "p1_splits": p1_splits, "p1_report": p1_report}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _PRESENT = "SELECT DISTINCT record_id, '{0}' AS kind, trim({0}, " + _B + ") AS value FROM record_identity WHERE {0} IS NOT NULL AND NOT regexp_full_match(trim({0}, " + _B + "), '([^:]*:)?0*')"
