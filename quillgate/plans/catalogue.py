@@ -1,6 +1,6 @@
 """All core queries with their SQL."""
 
-from . import general
+from . import corpus, general
 
-QUERIES = {**general.QUERIES}
-SQL = {**general.SQL}
+QUERIES = {**corpus.QUERIES, **general.QUERIES}
+SQL = {**corpus.SQL, **general.SQL}
