@@ -1,6 +1,6 @@
 """All core queries with their SQL."""
 
-from . import corpus, general
+from . import corpus, design, general
 
-QUERIES = {**corpus.QUERIES, **general.QUERIES}
-SQL = {**corpus.SQL, **general.SQL}
+QUERIES = {**corpus.QUERIES, **design.QUERIES, **general.QUERIES}
+SQL = {**corpus.SQL, **design.SQL, **general.SQL}
