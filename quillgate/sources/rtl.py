@@ -17,7 +17,7 @@ _ASSIGN = re.compile(r"\bassign\s+(\w+)(?:\s*\[[^\]]*\])?\s*=\s*([^;]+);")
 _ALWAYS = re.compile(r"\balways(?:_ff|_comb|_latch)?\b\s*(?:@\s*\(([^)]*)\)|@\s*\*)?")
 _EDGE = re.compile(r"\b(posedge|negedge)\s+(\w+)")
 _NEXT = re.compile(r"(\w+)\s*(?:\[[^\]]*\])?\s*<=\s*([^;]+);")
-_INSTANCE = re.compile(r"(?:^|;|\bend)\s*([A-Za-z_]\w*)\s+([A-Za-z_]\w*)\s*\((\s*\..*?)\)\s*;", re.S)
+_INSTANCE = re.compile(r"\b([A-Za-z_]\w*)\s+(?:#\s*\([^;]*?\)\s*)?([A-Za-z_]\w*)\s*\((\s*\..*?)\)\s*;", re.S)
 _PIN = re.compile(r"\.(\w+)\s*\(((?:[^()]|\([^()]*\))*)\)")
 _CASE = re.compile(r"\bcase\s*\(\s*(\w+)\s*\)(.*?)\bendcase\b", re.S)
 _ARM = re.compile(r"(?:^|;)\s*(\w+)\s*:\s*(.*?)(?=;\s*\w+\s*:|;\s*$|$)", re.S)
