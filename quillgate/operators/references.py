@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import clean
+from ..sources.tables import Scratch, clean
 
 
 def orphan_references(refs: DataFrame, keys: dict[str, str], targets: DataFrame, match: str = "partial", at: str | None = None, alive: tuple[str, str] | None = None) -> DataFrame:
@@ -13,7 +13,7 @@ def orphan_references(refs: DataFrame, keys: dict[str, str], targets: DataFrame,
 
     keys: column of refs -> column of targets. ``match`` gives the meaning of nulls in a reference: "simple": a null anywhere and nothing is checked;
     "partial": the columns that are there must agree with some target; "full": all or none may be null, a mix is an orphan. A reference of nulls only is
-    never an orphan. References are grouped by their null mask and each mask is anti-joined on its own non-null columns, so every join stays an equi-join.
+    never an orphan. References are written once with their null mask and each mask that occurs is anti-joined on its own non-null columns, so every join stays an equi-join.
     ``at`` and ``alive=(from, until)``: the target must also be alive at refs[at], from <= at and (until is null or until > at); a null ``at`` matches no target.
     Repeated references stay repeated. An empty target table makes every checked reference an orphan.
     """
@@ -21,17 +21,22 @@ def orphan_references(refs: DataFrame, keys: dict[str, str], targets: DataFrame,
         raise ValueError(f"unknown match {match!r}")
     cols = list(keys)
     keep = refs.columns
-    t = targets.select(*[F.col(keys[c]).alias(f"_t{i}") for i, c in enumerate(cols)], *([F.col(alive[0]).alias("_from"), F.col(alive[1]).alias("_until")] if alive else []))
-    out = None
-    for mask in range(1, 1 << len(cols)):
+    scratch = Scratch(refs.sparkSession)
+    bits = F.lit(0)
+    for i, c in enumerate(cols):
+        bits = bits + F.when(F.col(c).isNotNull(), 1 << i).otherwise(0)
+    refs = scratch.save(refs.withColumn("_mask", bits))
+    masks = sorted(r["_mask"] for r in refs.select("_mask").distinct().collect())  # at most 2 ** len(keys)
+    t = targets.select(*[F.col(keys[c]).alias(f"_t{i}") for i, c in enumerate(cols)], *([F.col(alive[0]).alias("_from"), F.col(alive[1]).alias("_until")] if alive else [])).distinct()
+    if len(masks) > 1:
+        t = scratch.save(t)
+    out: DataFrame | None = None
+    for mask in filter(None, masks):
         there = [i for i in range(len(cols)) if mask >> i & 1]
         whole = len(there) == len(cols)
         if match == "simple" and not whole:
             continue
-        cond = F.lit(True)
-        for i, c in enumerate(cols):
-            cond = cond & (F.col(c).isNotNull() if i in there else F.col(c).isNull())
-        part = refs.where(cond)
+        part = refs.where(F.col("_mask") == mask)
         if not (match == "full" and not whole):
             on = F.lit(True)
             for i in there:
@@ -41,7 +46,7 @@ def orphan_references(refs: DataFrame, keys: dict[str, str], targets: DataFrame,
                 on = on & (F.col("_from") <= F.col(at)) & (F.col("_until").isNull() | (F.col("_until") > F.col(at)))
             part = part.join(t.select(*need).distinct(), on, "left_anti")
         out = part if out is None else out.unionByName(part)
-    return out.select(*keep) if out is not None else refs.limit(0)
+    return out.select(*keep) if out is not None else refs.select(*keep).limit(0)
 
 
 def state_references(fsm: DataFrame) -> DataFrame:
