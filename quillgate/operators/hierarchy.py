@@ -44,7 +44,9 @@ def descendants(edges: DataFrame, scope: str = "ip", parent: str = "parent", chi
             joined = levels[0]
             for x in levels[1:-1]:
                 joined = joined.union(x)
+            done = levels[:-1]
             levels = [scratch.save(joined), levels[-1]]
+            scratch.drop(*done)
     out = levels[0]
     for x in levels[1:]:
         out = out.union(x)

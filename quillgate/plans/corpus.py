@@ -182,7 +182,7 @@ def task_coverage(s, d):
 def change_classes(s, d):
     """Records delivered after the middle of 2024 against those before: new, modified, unchanged by key and hash of prompt and completion."""
     r = _records(s, d).select("record_id", "ingested_at", F.sha2(F.concat_ws("\x1f", F.coalesce("input.text", F.lit("")), F.coalesce("target.text", "target.value", F.lit(""))), 256).alias("h"))
-    old = r.where("ingested_at < timestamp'2024-07-01'").groupBy("record_id").agg(F.max("h").alias("old_h"))
+    old = r.where("ingested_at < timestamp_ntz'2024-07-01'").groupBy("record_id").agg(F.max("h").alias("old_h"))
     new = r.groupBy("record_id").agg(F.max("h").alias("h"))
     j = new.join(old, "record_id", "left")
     return j.groupBy(F.when(F.col("old_h").isNull(), "new").when(F.col("old_h") != F.col("h"), "modified").otherwise("unchanged").alias("change")).agg(F.count("*").alias("n_records"))
