@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import expr
-from ..operators import fsm, governance, graph, hierarchy, references, stats
+from ..operators import fsm, governance, graph, hierarchy, records, references, stats
 from ..sources import rtl
 from ..sources.tables import Scratch, clean, table
 from ..streaming import jobs
@@ -249,6 +249,19 @@ def rtl_expressions(s, d):
     return x.select("record_id", "module", "name", F.col("e.nodes").alias("nodes"), F.col("e.depth").alias("depth"), F.col("e.value").alias("constant"), F.col("e.wording").alias("wording"))
 
 
+def planned_records(s, d):
+    return records.planned(_wrap(s, d))
+
+
+def structural_projection(s, d):
+    x = records.structural_projection(_wrap(s, d))
+    return x.select("ip", "module", F.array_join("registers", ",").alias("registers"), F.array_join("children", ",").alias("children"))
+
+
+def module_prompts(s, d):
+    return records.prompts(records.structural_projection(_wrap(s, d)), 120)
+
+
 def stream_hourly(s, d):
     return jobs.drain(jobs.hourly(jobs.events(s, d)))
 
@@ -257,7 +270,7 @@ def stream_once(s, d):
     return jobs.drain(jobs.once(jobs.events(s, d)))
 
 
-QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, rtl_sections, rtl_interfaces, rtl_registers, rtl_transitions, rtl_undriven_outputs, rtl_expressions, stream_hourly, stream_once)}
+QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, rtl_sections, rtl_interfaces, rtl_registers, rtl_transitions, rtl_undriven_outputs, rtl_expressions, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _INS = f"ins AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS parent, unnest(instances) AS i FROM structural_wrap), e AS (SELECT DISTINCT ip, parent, trim(i.module, {_B}) AS child, trim(i.name, {_B}) AS instance FROM ins WHERE i IS NOT NULL AND trim(i.module, {_B}) <> '')"
@@ -273,7 +286,13 @@ l AS (SELECT doc_id, machine, count(*) AS n_self FROM tr WHERE move = 'self' GRO
 q AS (SELECT doc_id, machine, n_states, n_orphan, n_terminal, coverage, coalesce(n_self, 0) AS n_self, CASE WHEN coverage >= 90 AND n_orphan = 0 THEN 'high' WHEN coverage >= 70 THEN 'medium' ELSE 'low' END AS score FROM g LEFT JOIN l USING (doc_id, machine))"""
 _SYM = f"y AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, trim(name, {_B}) AS name, symbol_id, scope, kind, removed_at FROM symbols)"
 
+_TASKS = ", ".join(f"('{t}', {v})" for t, v, p in records.TASKS if p)
+_PROJ = f"pj AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, list_sort(list_distinct(list_filter(list_transform(coalesce(registers, []), lambda x: trim(x.name, {_B})), lambda n: n IS NOT NULL))) AS registers, list_sort(list_distinct(list_filter(list_transform(coalesce(instances, []), lambda x: trim(x.module, {_B})), lambda n: n IS NOT NULL))) AS children FROM structural_wrap)"
+
 SQL = {
+    "planned_records": f"WITH m AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module FROM structural_wrap), t(task, version) AS (VALUES {_TASKS}) SELECT ip, module, task, version, 'r2:' || substr(sha256('kf-record' || chr(31) || 'v2' || chr(31) || task || chr(31) || version || chr(31) || 'mod1:' || substr(sha256('kf-module' || chr(31) || 'v1' || chr(31) || ip || chr(31) || module), 1, 16)), 1, 16) AS record_id FROM m, t",
+    "structural_projection": f"WITH {_PROJ} SELECT ip, module, array_to_string(registers, ',') AS registers, array_to_string(children, ',') AS children FROM pj",
+    "module_prompts": f"WITH {_PROJ}, l AS (SELECT ip, module, list_concat(['Module ' || module || ' of ' || ip], list_transform(registers, lambda x: 'register ' || x), list_transform(children, lambda x: 'submodule ' || x)) AS ls FROM pj), u AS (SELECT ip, module, ls, unnest(ls) AS t, generate_subscripts(ls, 1) AS k FROM l), c AS (SELECT ip, module, ls, sum(strlen(t) + 1) OVER (PARTITION BY ip, module ORDER BY k) AS used FROM u), n AS (SELECT ip, module, ls, greatest(1, count(*) FILTER (used <= 120)) AS n FROM c GROUP BY ALL) SELECT ip, module, array_to_string(ls[1:n], chr(10)) AS prompt, len(ls) - n AS n_dropped FROM n",
     "hierarchy_edges": f"WITH {_INS}, h AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS child, 'resolved' AS st FROM structural_wrap) SELECT ip, parent, child, instance, coalesce(st, 'no_document') AS status FROM e LEFT JOIN h USING (ip, child)",
     "top_modules": f"WITH {_INS}, n AS (SELECT ip, parent AS module, count(*) AS n FROM e GROUP BY ALL), t AS (SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.ip = n.ip AND e.child = n.module)), r AS (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY n DESC, module) AS k, count(*) OVER (PARTITION BY ip) AS n_roots FROM t) SELECT ip, module AS top, n AS n_instances, n_roots FROM r WHERE k = 1",
     "signal_degrees": f"WITH {_DEP}, e AS (SELECT DISTINCT scope, src, dst FROM d) SELECT scope, node, CAST(sum(i) AS BIGINT) AS fan_in, CAST(sum(o) AS BIGINT) AS fan_out FROM (SELECT scope, dst AS node, 1 AS i, 0 AS o FROM e UNION ALL SELECT scope, src, 0, 1 FROM e) GROUP BY ALL",
