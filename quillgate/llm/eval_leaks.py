@@ -218,16 +218,18 @@ class Searcher:
         weight += np.where(one >= 0, self.square[one] - self.foreign**2, 0) + np.where(two >= 0, self.square[two] - self.foreign**2, 0)
         cuts = np.arange(0, n, STEP)
         norm2 = np.add.reduceat(weight, cuts)
-        vec = np.empty((len(cuts), self.direct.shape[1]), np.float32)
-        for a in range(0, len(cuts), 1024):
-            z = min(a + 1024, len(cuts))
-            s = slice(a * STEP, z * STEP)
-            got = self.direct[one[s]].reshape(z - a, STEP, -1).sum(1)
-            live = np.flatnonzero(two[s] >= 0)
+        vec = np.zeros((len(cuts), self.direct.shape[1]), np.float32)
+        one, two = one.reshape(-1, STEP), two.reshape(-1, STEP)
+        known = np.flatnonzero((one >= 0).any(axis=1))  # without a word of the items the vector is zero
+        for a in range(0, len(known), 1024):
+            part = known[a : a + 1024]
+            got = self.direct[one[part]].sum(1)
+            terms = two[part].ravel()
+            live = np.flatnonzero(terms >= 0)
             if len(live):
                 edges = np.flatnonzero(np.concatenate(([True], np.diff(live // STEP) > 0)))
-                got[live[edges] // STEP] += np.add.reduceat(self.direct[two[s][live]], edges, axis=0)
-            vec[a:z] = got
+                got[live[edges] // STEP] += np.add.reduceat(self.direct[terms[live]], edges, axis=0)
+            vec[part] = got
         doc = np.repeat(np.arange(len(docs)), blocks)
         pair = np.concatenate((doc[1:] == doc[:-1], [False]))
         win, w2 = vec.copy(), norm2.copy()
