@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import expr
-from ..operators import fsm, governance, graph, hierarchy, records, references, stats
+from ..operators import behavior, fsm, governance, graph, hierarchy, records, references, stats
 from ..sources import rtl
 from ..sources.tables import Scratch, clean, table
 from ..streaming import jobs
@@ -249,6 +249,14 @@ def rtl_expressions(s, d):
     return x.select("record_id", "module", "name", F.col("e.nodes").alias("nodes"), F.col("e.depth").alias("depth"), F.col("e.value").alias("constant"), F.col("e.wording").alias("wording"))
 
 
+def clock_domains(s, d):
+    return behavior.clock_domains(_wrap(s, d))
+
+
+def register_holds(s, d):
+    return stats.histogram(behavior.registers(_wrap(s, d)), "hold")
+
+
 def planned_records(s, d):
     return records.planned(_wrap(s, d))
 
@@ -270,7 +278,7 @@ def stream_once(s, d):
     return jobs.drain(jobs.once(jobs.events(s, d)))
 
 
-QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, rtl_sections, rtl_interfaces, rtl_registers, rtl_transitions, rtl_undriven_outputs, rtl_expressions, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
+QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, rtl_sections, rtl_interfaces, rtl_registers, rtl_transitions, rtl_undriven_outputs, rtl_expressions, clock_domains, register_holds, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _INS = f"ins AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS parent, unnest(instances) AS i FROM structural_wrap), e AS (SELECT DISTINCT ip, parent, trim(i.module, {_B}) AS child, trim(i.name, {_B}) AS instance FROM ins WHERE i IS NOT NULL AND trim(i.module, {_B}) <> '')"
@@ -287,9 +295,12 @@ q AS (SELECT doc_id, machine, n_states, n_orphan, n_terminal, coverage, coalesce
 _SYM = f"y AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, trim(name, {_B}) AS name, symbol_id, scope, kind, removed_at FROM symbols)"
 
 _TASKS = ", ".join(f"('{t}', {v})" for t, v, p in records.TASKS if p)
+_REG = f"rx AS (SELECT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, unnest(registers) AS r FROM structural_wrap), rg AS (SELECT DISTINCT ip, module, trim(r.name, {_B}) AS register, trim(r.clock.signal, {_B}) AS clock, r.clock.edge AS edge, r.hold AS hold, coalesce(len(list_distinct(list_filter(list_transform(r.enables, lambda x: trim(x, {_B})), lambda x: x IS NOT NULL))), 0) AS n_enables FROM rx WHERE r.name IS NOT NULL)"
 _PROJ = f"pj AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, list_sort(list_distinct(list_filter(list_transform(coalesce(registers, []), lambda x: trim(x.name, {_B})), lambda n: n IS NOT NULL))) AS registers, list_sort(list_distinct(list_filter(list_transform(coalesce(instances, []), lambda x: trim(x.module, {_B})), lambda n: n IS NOT NULL))) AS children FROM structural_wrap)"
 
 SQL = {
+    "clock_domains": f"WITH {_REG} SELECT ip, module, clock, count(*) AS n_registers, count(*) FILTER (n_enables > 0) AS n_enabled, array_to_string(list_sort(list(DISTINCT edge) FILTER (edge IS NOT NULL)), ',') AS edges FROM rg WHERE clock IS NOT NULL GROUP BY ALL",
+    "register_holds": f"WITH {_REG} SELECT hold, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM rg GROUP BY hold",
     "planned_records": f"WITH m AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module FROM structural_wrap), t(task, version) AS (VALUES {_TASKS}) SELECT ip, module, task, version, 'r2:' || substr(sha256('kf-record' || chr(31) || 'v2' || chr(31) || task || chr(31) || version || chr(31) || 'mod1:' || substr(sha256('kf-module' || chr(31) || 'v1' || chr(31) || ip || chr(31) || module), 1, 16)), 1, 16) AS record_id FROM m, t",
     "structural_projection": f"WITH {_PROJ} SELECT ip, module, array_to_string(registers, ',') AS registers, array_to_string(children, ',') AS children FROM pj",
     "module_prompts": f"WITH {_PROJ}, l AS (SELECT ip, module, list_concat(['Module ' || module || ' of ' || ip], list_transform(registers, lambda x: 'register ' || x), list_transform(children, lambda x: 'submodule ' || x)) AS ls FROM pj), u AS (SELECT ip, module, ls, unnest(ls) AS t, generate_subscripts(ls, 1) AS k FROM l), c AS (SELECT ip, module, ls, sum(strlen(t) + 1) OVER (PARTITION BY ip, module ORDER BY k) AS used FROM u), n AS (SELECT ip, module, ls, greatest(1, count(*) FILTER (used <= 120)) AS n FROM c GROUP BY ALL) SELECT ip, module, array_to_string(ls[1:n], chr(10)) AS prompt, len(ls) - n AS n_dropped FROM n",
