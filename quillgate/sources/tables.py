@@ -31,12 +31,11 @@ def delivered_once(df: DataFrame, *cols: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session, or one of our own on a local master only."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quillgate-")
-        spark.conf.set("spark.checkpoint.dir", base) if spark.conf.isModifiable("spark.checkpoint.dir") else spark.sparkContext._conf.set("spark.checkpoint.dir", base)
         _own[spark.sparkContext.applicationId] = base
     return base
 
@@ -44,9 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
 _own: dict[str, str] = {}
 
 
-def _base(spark: SparkSession) -> str:
-    app = spark.sparkContext.applicationId
-    root = f"{_own.get(app) or shared_dir(spark)}/quillgate-{app}"
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder in the shared folder, removed when Python ends."""
+    root = f"{shared_dir(spark)}/quillgate-{spark.sparkContext.applicationId}"
     if root not in _registered:
         _registered.add(root)
         atexit.register(_delete, spark, root)
@@ -67,14 +66,13 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.saved: dict[int, tuple[str, DataFrame]] = {}  # holds the frames, so an id means one frame only
 
     def save(self, df: DataFrame, *, coalesce: int | None = None) -> DataFrame:
-        path = f"{_base(self.spark)}/{uuid.uuid4().hex}"
+        path = f"{scratch_root(self.spark)}/{uuid.uuid4().hex}"
         (df.coalesce(coalesce) if coalesce else df).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        out._quillgate_keep = self  # the id stays valid while the frame lives
+        self.saved[id(out)] = path, out
         return out
 
     def counted(self, df: DataFrame, **sums) -> tuple[DataFrame, dict]:
@@ -85,5 +83,5 @@ class Scratch:
 
     def drop(self, *frames: DataFrame | None) -> None:
         for f in frames:
-            if f is not None and (path := self.paths.pop(id(f), None)):
-                _delete(self.spark, path)
+            if f is not None and (held := self.saved.pop(id(f), None)):
+                _delete(self.spark, held[0])

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import shared_dir
+from ..sources.tables import scratch_root
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """The result of a stream over all input there is, written to the shared folder once (its checkpoint beside it)."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/quillgate-stream-{uuid.uuid4().hex}"
+    base = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
     q = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
