@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +15,25 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\r\x0b\x0c   "
 
 _registered: set[str] = set()
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever they start: the driver serves it to the executors, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).resolve().parents[1]
+        if package.is_dir():  # else it was imported from a file that was shipped already
+            target = Path(tempfile.mkdtemp(prefix="quillgate-")) / "quillgate_package.zip"
+            with zipfile.ZipFile(target, "w") as z:
+                for f in sorted(package.rglob("*.py")):
+                    z.write(f, f.relative_to(package.parent))
+            spark.sparkContext.addPyFile(str(target))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
