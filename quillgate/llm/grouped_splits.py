@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.components import connected_components, hub_edges
+from ..operators.skew import attach_by_key
 from ..sources.tables import Scratch, clean
 
 IDENTITIES = ("source_rtl", "module_body", "normalized_ir", "completion")
 SPLITS, RATIOS = ("train", "validation", "test"), (0.7, 0.15, 0.15)
-#: Components above total/HEADS records are placed one by one (there are fewer than HEADS); labels below total/LABELS records share one label.
-HEADS, LABELS, BUCKETS = 5000, 1000, 256
+#: Components above total/HEADS records are placed one by one (there are fewer than HEADS); their label vectors may have CELLS entries in all (checked).
+HEADS, CELLS, BUCKETS = 5000, 1_000_000, 256
 
 
 def present(col):
@@ -52,8 +55,8 @@ def tied_records(groups: DataFrame) -> DataFrame:
     return others.union(others.select(F.col("group_id").alias("record_id"), "group_id").distinct())
 
 
-def _pour(needs: list[float], size: int, n: int) -> list[int]:
-    """How many of n equal items of that size each split gets if each item goes to the split with the largest need left (ties: the earlier split)."""
+def _pour(needs: list[float], size: int, n: int, room: list[float] | None = None) -> list[int]:
+    """How many of n equal items of that size each split gets if each item goes to the split with the largest need left (ties: the most room left, then the earlier split)."""
     lo, hi = min(needs) - size * n - size, max(needs)
     for _ in range(80):
         mid = (lo + hi) / 2
@@ -61,96 +64,139 @@ def _pour(needs: list[float], size: int, n: int) -> list[int]:
         lo, hi = (mid, hi) if taken > n else (lo, mid)
     got = [max(0, -int(-(d - hi) // size)) for d in needs]
     left = [d - g * size for d, g in zip(needs, got)]
+    free = [r - g * size for r, g in zip(room or [0.0] * len(needs), got)]
     for _ in range(n - sum(got)):
-        k = max(range(len(left)), key=lambda i: (left[i], -i))
+        k = max(range(len(left)), key=lambda i: (round(left[i], 6), round(free[i], 6), -i))
         got[k] += 1
         left[k] -= size
+        free[k] -= size
     return got
 
 
-def place(heads: list[tuple[str, dict[str, int]]], classes: list[tuple[str, int, int]], ratios=RATIOS) -> tuple[dict[str, int], dict[tuple[str, int], list[int]]]:
-    """The stratification itself, over bounded input: heads (component, label vector) one by one, classes (label, size, number) by counts.
+def _fill(needs: list[float], amount: float) -> list[float]:
+    """What each split gets if an amount is poured, as a fluid, into the largest needs first."""
+    top = sorted(needs, reverse=True)
+    for k in range(len(top), 0, -1):
+        level = (sum(top[:k]) - amount) / k
+        if level <= top[k - 1]:
+            return [max(0.0, d - level) for d in needs]
+    return [0.0] * len(needs)
 
-    Repeats: take the label with the fewest records outstanding, place its components, largest first, each into the split that needs the label most; ties go
-    to the split with the most room left, then to the earlier one.
+
+def place(heads: list[tuple[str, dict[str, int]]], totals: dict[str, int], ratios=RATIOS) -> dict[str, int]:
+    """The split of each head (component, label vector), placed one by one; totals: the records of each of their labels, those of small components included.
+
+    Repeats: take the label with the fewest records outstanding, place its heads, largest first, each into the split that needs the label most; ties go to the
+    split with the most room left, then to the earlier one. The small components of the label follow; they change nothing but the room for later labels, as
+    every head with this label is placed by then, so they are poured elsewhere (``_pours``) and count here by their number only.
     """
     k = len(ratios)
-    total: dict[str, int] = defaultdict(int)
-    for _, v in heads:
-        for lab, n in v.items():
-            total[lab] += n
-    for lab, size, n in classes:
-        total[lab] += size * n
-    need = {lab: [t * r for r in ratios] for lab, t in total.items()}
-    room = [sum(total.values()) * r for r in ratios]
-    out = dict(total)
+    need = {lab: [t * r for r in ratios] for lab, t in totals.items()}
+    room = [sum(totals.values()) * r for r in ratios]
+    out, minor = dict(totals), dict(totals)
+    weight = {c: sum(v.values()) for c, v in heads}
     at = defaultdict(list)
-    for i, (_, v) in enumerate(heads):
-        for lab in v:
-            at[lab].append(i)
-    small = defaultdict(list)
-    for lab, size, n in classes:
-        small[lab].append((size, n))
+    for c, v in heads:
+        for lab, n in v.items():
+            at[lab].append((c, v))
+            minor[lab] -= n
     where: dict[str, int] = {}
-    counts: dict[tuple[str, int], list[int]] = {}
-    todo = set(total)
-    while todo:
-        lab = min(todo, key=lambda x: (out[x], x))
-        todo.discard(lab)
-        mine = sorted((i for i in at[lab] if heads[i][0] not in where), key=lambda i: (-sum(heads[i][1].values()), heads[i][0]))
-        for i in mine:
-            c, v = heads[i]
-            j = max(range(k), key=lambda j: (need[lab][j], room[j], -j))
+    queue = [(n, lab) for lab, n in out.items()]
+    heapq.heapify(queue)
+    done = set()
+    while queue:
+        n, lab = heapq.heappop(queue)
+        if lab in done or n != out[lab]:
+            continue
+        done.add(lab)
+        for c, v in sorted((x for x in at[lab] if x[0] not in where), key=lambda x: (-weight[x[0]], x[0])):
+            j = max(range(k), key=lambda j: (round(need[lab][j], 6), round(room[j], 6), -j))
             where[c] = j
-            for x, n in v.items():
-                need[x][j] -= n
-                out[x] -= n
-                room[j] -= n
-        for size, n in sorted(small[lab], reverse=True):
-            got = _pour(need[lab], size, n)
-            counts[lab, size] = got
-            for j in range(k):
-                need[lab][j] -= got[j] * size
-                room[j] -= got[j] * size
-            out[lab] -= size * n
-    return where, counts
+            for x, m in v.items():
+                need[x][j] -= m
+                out[x] -= m
+                room[j] -= m
+                if x not in done:
+                    heapq.heappush(queue, (out[x], x))
+        for j, x in enumerate(_fill(need[lab], minor[lab])):
+            room[j] -= x
+    return where
+
+
+def _pours(ratios):
+    """Cuts of the small components: rows (bucket, total, label, size, n, h0, h1, ...) in the order bucket, total, label, size from the largest; h: records of the label that heads brought to each split.
+
+    Every label is poured for itself, the rarest first; a bucket carries the room its labels have left so far, for ties.
+    """
+    k = len(ratios)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = lab = None
+        need, room = [0.0] * k, [0.0] * k
+        for b in batches:
+            labels, sizes, cuts = [], [], [[] for _ in range(k)]
+            for r in b.to_pylist():
+                if r["bucket"] != at:
+                    at, lab, room = r["bucket"], None, [0.0] * k
+                if r["label"] != lab:
+                    lab = r["label"]
+                    need = [r["total"] * x - r[f"h{j}"] for j, x in enumerate(ratios)]
+                    room = [x + y for x, y in zip(room, need)]
+                got, seen = _pour(need, r["size"], r["n"], room), 0
+                need = [x - g * r["size"] for x, g in zip(need, got)]
+                room = [x - g * r["size"] for x, g in zip(room, got)]
+                labels.append(lab)
+                sizes.append(r["size"])
+                for j, g in enumerate(got):
+                    seen += g
+                    cuts[j].append(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(sizes, pa.int64())] + [pa.array(c, pa.int64()) for c in cuts], names=["label", "size"] + [f"c{j}" for j in range(k)])
+
+    return run
 
 
 def grouped_splits(records: DataFrame, groups: DataFrame, label: str = "ip", splits=SPLITS, ratios=RATIOS) -> DataFrame:
     """(record_id, group_id, split): every record once, whole groups, shares near ``ratios`` overall and per label.
 
     Label vectors are summed per group in two steps (group and label, then group), so no group is gathered. Groups of more than total/HEADS records go to the
-    driver as a vector each (fewer than HEADS of them); the rest is one histogram row for each (rarest label, size), with labels below total/LABELS records
-    pooled, so its size is bounded too. Within such a class the groups are told apart by their rank in BUCKETS hash buckets plus the buckets' offsets: a class
-    that holds a third of all records is never one task. Null labels are a label of their own. A record_id delivered twice counts once, under its least label.
+    driver as a vector each (fewer than HEADS of them, CELLS entries, checked); the rest is one histogram row for each (rarest label, size). No label is pooled
+    with others, however rare: the histogram stays distributed and each label is poured on its own. Within such a class the groups are told apart by their rank
+    in BUCKETS hash buckets plus the buckets' offsets: a class that holds a third of all records is never one task. Null labels are a label of their own. A
+    record_id delivered twice counts once, under its least label.
     """
     spark: SparkSession = records.sparkSession
     scratch = Scratch(spark)
+    k = len(splits)
     lab = records.select("record_id", F.coalesce(clean(F.col(label)), F.lit("")).alias("label")).where("record_id is not null").groupBy("record_id").agg(F.min("label").alias("label"))
     cells, seen = scratch.counted(groups.join(lab, "record_id").groupBy("group_id", "label").agg(F.count("*").alias("n")), total=F.sum("n"))
     total = seen["total"] or 0
-    sums = cells.groupBy("label").agg(F.sum("n").alias("all_n"))
-    known = sums.where(F.col("all_n") > total // LABELS)
-    cells = cells.join(F.broadcast(known), "label", "left").select("group_id", F.when(F.col("all_n").isNull(), "\0rest").otherwise(F.col("label")).alias("label"), "n", F.coalesce("all_n", F.lit(0)).alias("all_n"))
-    comps = cells.groupBy("group_id").agg(F.sum("n").alias("size"), F.min(F.struct("all_n", "label")).alias("rare"), F.collect_list(F.struct("label", "n")).alias("v"))
-    comps = scratch.save(comps.select("group_id", "size", F.col("rare.label").alias("label"), F.when(F.col("size") > total // HEADS, F.col("v")).alias("v")))
-    heads = []
-    for row in comps.where("v is not null").select("group_id", "v").toLocalIterator():
-        vec: dict[str, int] = defaultdict(int)
-        for x in row["v"]:
-            vec[x["label"]] += x["n"]
-        heads.append((row["group_id"], dict(vec)))
+    sums = scratch.save(cells.groupBy("label").agg(F.sum("n").alias("all_n"), F.count("*").alias("held")))
+    known = attach_by_key(cells, sums, "label", "all_n", "held", seen["n"])
+    comps = scratch.save(known.groupBy("group_id").agg(F.sum("n").alias("size"), F.min(F.struct("all_n", "label")).alias("rare")).select("group_id", "size", F.col("rare.label").alias("label")))
+    large = comps.where(F.col("size") > total // HEADS).select("group_id")
+    vectors, held = scratch.counted(cells.join(F.broadcast(large), "group_id").select("group_id", "label", "n"))
+    if held["n"] > CELLS:
+        raise ValueError(f"large groups hold {held['n']} labels in all, more than {CELLS}")
     bucket = F.pmod(F.xxhash64("group_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
-    minor = comps.where("v is null").select("group_id", "label", "size", bucket)
-    tally = minor.groupBy("label", "size", "bucket").agg(F.count("*").alias("n"))
-    rows = [(r["label"], r["size"], r["n"]) for r in tally.groupBy("label", "size").agg(F.sum("n").alias("n")).collect()]
-    where, counts = place(heads, rows, ratios)
-    big = spark.createDataFrame([(c, splits[j]) for c, j in where.items()], "group_id string, split string")
-    cut = spark.createDataFrame([(lb, sz, *[int(sum(g[: j + 1])) for j in range(len(splits))]) for (lb, sz), g in counts.items()], T.StructType([T.StructField("label", T.StringType()), T.StructField("size", T.LongType())] + [T.StructField(f"c{j}", T.LongType()) for j in range(len(splits))]))
-    before = tally.withColumn("offset", F.sum("n").over(Window.partitionBy("label", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("label", "size", "bucket", F.coalesce("offset", F.lit(0)).alias("offset"))
-    ranked = minor.withColumn("rk", F.row_number().over(Window.partitionBy("label", "size", "bucket").orderBy(F.xxhash64("group_id", F.lit(7)), "group_id"))).join(before, ["label", "size", "bucket"]).join(cut, ["label", "size"])
+    minor = comps.where(F.col("size") <= total // HEADS).select("group_id", "label", "size", bucket)
+    tally = scratch.save(minor.groupBy("label", "size", "bucket").agg(F.count("*").alias("n")))
+    classes = tally.groupBy("label", "size").agg(F.sum("n").alias("n"))
+    totals = classes.select("label", (F.col("size") * F.col("n")).alias("n")).union(vectors.select("label", "n")).groupBy("label").agg(F.sum("n").alias("total"))
+    heads: dict[str, dict[str, int]] = defaultdict(dict)
+    of = {}
+    for row in vectors.join(totals, "label").select("group_id", "label", "n", "total").toLocalIterator():
+        heads[row["group_id"]][row["label"]] = row["n"]
+        of[row["label"]] = row["total"]
+    where = place(list(heads.items()), of, ratios)
+    big = spark.createDataFrame([(c, splits[j], j) for c, j in where.items()], "group_id string, split string, j int")
+    brought = vectors.join(F.broadcast(big), "group_id").groupBy("label").agg(*[F.sum(F.when(F.col("j") == j, F.col("n")).otherwise(0)).alias(f"h{j}") for j in range(k)])
+    poured = classes.join(totals, "label").join(brought, "label", "left").select(F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int").alias("bucket"), "total", "label", "size", "n", *[F.coalesce(f"h{j}", F.lit(0)).alias(f"h{j}") for j in range(k)])
+    poured = poured.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").sortWithinPartitions("bucket", "total", "label", F.desc("size"))
+    cut = poured.mapInArrow(_pours(ratios), "label string, size long, " + ", ".join(f"c{j} long" for j in range(k)))
+    before = tally.withColumn("offset", F.sum("n").over(Window.partitionBy("label", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("label", "size", "bucket", F.coalesce("offset", F.lit(0)).alias("offset")).join(cut, ["label", "size"])
+    ranked = minor.withColumn("rk", F.row_number().over(Window.partitionBy("label", "size", "bucket").orderBy(F.xxhash64("group_id", F.lit(7)), "group_id"))).join(before, ["label", "size", "bucket"])
     pick = F.lit(splits[-1])
-    for j in range(len(splits) - 2, -1, -1):
+    for j in range(k - 2, -1, -1):
         pick = F.when(F.col("offset") + F.col("rk") <= F.col(f"c{j}"), splits[j]).otherwise(pick)
-    chosen = scratch.save(ranked.select("group_id", pick.alias("split")).union(comps.where("v is not null").join(big, "group_id").select("group_id", "split")))
+    chosen = scratch.save(ranked.select("group_id", pick.alias("split")).union(big.select("group_id", "split")))
     return groups.join(chosen, "group_id").select("record_id", "group_id", "split")

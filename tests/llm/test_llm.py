@@ -53,6 +53,25 @@ def test_splits_keep_groups_and_shares(spark):
     assert g.grouped_splits(ids.limit(0), groups.limit(0)).count() == 0
 
 
+def test_rare_labels_are_dealt_one_by_one(spark):
+    rows = [ident(f"r{i:05}", ip=f"ip{i % 150}") for i in range(3000)] + [ident(f"h{i:05}", ip="hot") for i in range(22_000)]
+    ids = spark.createDataFrame(rows, ID)
+    groups = ids.select("record_id", F.col("record_id").alias("group_id"))
+    n = Counter((r["ip"], r["split"]) for r in g.grouped_splits(ids, groups).join(ids.select("record_id", "ip"), "record_id").collect())
+    assert all((n[f"ip{k}", "train"], n[f"ip{k}", "validation"], n[f"ip{k}", "test"]) == (14, 3, 3) for k in range(150))
+
+
+def test_ties_of_labels_follow_the_room(spark):
+    ids = spark.createDataFrame([ident(f"r{i:05}", ip=f"ip{i % 400}") for i in range(1600)], ID)
+    n = Counter(r["split"] for r in g.grouped_splits(ids, ids.select("record_id", F.col("record_id").alias("group_id"))).collect())
+    assert sum(n.values()) == 1600 and abs(n["validation"] - n["test"]) <= g.BUCKETS
+
+
+def test_heads_count_with_the_small_of_their_label():
+    assert g.place([("a", {"x": 10}), ("b", {"x": 2, "y": 3})], {"x": 20, "y": 3}) == {"b": 0, "a": 0}
+    assert sum(g._fill([5.0, 3.0, -1.0], 4.0)) == pytest.approx(4.0) and g._fill([5.0, 3.0, -1.0], 4.0) == pytest.approx([3.0, 1.0, 0.0])
+
+
 def test_pouring_is_the_greedy_rule():
     rnd = random.Random(4)
     for _ in range(300):
