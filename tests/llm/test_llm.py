@@ -156,6 +156,27 @@ def test_cross_split_hot_copies(spark):
     assert 0.3 < cov["e"] <= 1
 
 
+def test_coverage_is_every_shared_run(spark):
+    rnd = random.Random(5)
+    stem = code(rnd, 60).split(" ")
+    part = lambda a, n: " ".join(stem[a : a + n])
+    rows = [("t1", "train", part(0, 200)), ("t2", "train", "a <= b ;"), ("t3", "train", code(rnd, 30)), ("e1", "test", "a<=b;"), ("e2", "test", part(0, 200)), ("e3", "validation", code(rnd, 20))]
+    rows += [(f"h{i:02}", "test", f"{code(rnd, 4)} {part(rnd.randrange(150), rnd.randrange(10, 40))} {code(rnd, 4)} {part(20, 37)} {code(rnd, 2)}") for i in range(25)]
+    rows += [(f"p{i}", "test", f"u{i} {part(40, 17)} v{i} {part(100, 15)} w{i}") for i in range(6)]
+    df = spark.createDataFrame([(r[0], ("t", 1), ("ip", None, "m"), r[1], ("rtl", r[2]), None, 0) for r in rows], REC)
+    toks = {r[0]: x.code_tokens(r[2]) for r in rows}
+    held = {tuple(toks[r][i : i + 16]) for r, s, _ in rows if s == "train" for i in range(len(toks[r]) - 15)}
+    want = {}
+    for r, s, _ in rows:
+        on = {i + k for i in range(len(toks[r]) - 15) if tuple(toks[r][i : i + 16]) in held for k in range(16)}
+        n = len(toks[r]) if toks[r] in [toks[q] for q, p, _ in rows if p == "train"] else len(on)
+        if s != "train" and n:
+            want[r] = n
+    c = x.CrossSplit(df)
+    assert {r["record_id"]: r["covered"] for r in c.coverage().collect()} == want and want["e1"] == 4 and want["p0"] == 17
+    assert x.CrossSplit(df.limit(0)).coverage().count() == 0
+
+
 def test_lcs_length():
     rnd = random.Random(0)
     for _ in range(50):
