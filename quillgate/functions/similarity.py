@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import Scratch
+
 #: Similarity classes (fixed values): near duplicate, structural, informational.
 NEAR, STRUCTURAL = 0.70, 0.30
 
@@ -42,15 +44,40 @@ def longest_run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> It
         yield pd.Series(out, dtype="int32")
 
 
-def near_edges(texts: DataFrame, least: float = NEAR) -> DataFrame:
-    """(a, b, similarity) with a < b of texts that share a fingerprint and agree by ``least`` or more. texts: (key, fingerprint, stream).
+class NearTexts:
+    """Pairs of texts that share a fingerprint. texts: (key, fingerprint, stream); null keys, fingerprints and streams tie nothing.
 
-    One key per distinct (fingerprint, stream) stands for its copies (the least), so a group of copies gives no pairs. Pairs whose lengths rule the limit out
-    never reach Python; equal pairs are compared once even if they share several fingerprints. Null fingerprints and streams tie nothing.
+    Copies, texts with the same fingerprint and stream, are one class, and its least key represents it: a group of copies costs one row of ``members`` per key
+    and no pairs. ``members`` and the pairs of classes together say what all pairs of keys would.
     """
-    reps = texts.where("fingerprint is not null and stream is not null").groupBy("fingerprint", "stream").agg(F.min("key").alias("key"))
-    x = reps.select("fingerprint", F.col("key").alias("a"), F.col("stream").alias("sa"))
-    y = reps.select("fingerprint", F.col("key").alias("b"), F.col("stream").alias("sb"))
-    p = x.join(y, "fingerprint").where("a < b").where(length_bound(F.split("sa", " "), F.split("sb", " ")) >= least)
-    p = p.dropDuplicates(["a", "b"]).withColumn("similarity", F.round(seq_ratio("sa", "sb"), 6))
-    return p.where(F.col("similarity") >= least).select("a", "b", "similarity")
+
+    def __init__(self, texts: DataFrame):
+        self.scratch = s = Scratch(texts.sparkSession)
+        x = texts.where("key is not null and fingerprint is not null and stream is not null")
+        self.members = s.save(x.select("key", F.sha2(F.to_json(F.struct("fingerprint", "stream")), 256).alias("class_id"), "fingerprint", "stream").distinct())
+        self.classes = s.save(self.members.groupBy("class_id").agg(F.min("key").alias("key"), F.count("*").alias("n_keys"), F.first("fingerprint").alias("fingerprint"), F.first("stream").alias("stream")))
+
+    def class_pairs(self, least: float = NEAR) -> DataFrame:
+        """(class_a, class_b, a, b, similarity) of different classes that agree by ``least`` or more; a <= b are their representatives, in the order of the comparison.
+
+        Pairs whose lengths rule the limit out never reach Python. Classes with the same representative (a key with several texts) are compared too, as their
+        other members differ.
+        """
+        side = lambda k: self.classes.select("fingerprint", F.col("class_id").alias(f"class_{k}"), F.col("key").alias(k), F.col("stream").alias(f"s{k}"))
+        p = side("a").join(side("b"), "fingerprint").where("a < b or a = b and class_a < class_b").where(F.round(length_bound(F.split("sa", " "), F.split("sb", " ")), 6) >= least)
+        return p.withColumn("similarity", F.round(seq_ratio("sa", "sb"), 6)).where(F.col("similarity") >= least).select("class_a", "class_b", "a", "b", "similarity")
+
+    def edges(self, least: float = NEAR) -> DataFrame:
+        """(a, b, similarity) with a < b: pairs of different representatives; the largest similarity if they meet in several classes."""
+        return self.class_pairs(least).where("a < b").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+    def membership(self, least: float = NEAR) -> DataFrame:
+        """(key, class_id, representative, n_copies, n_links): one row per key and class; the other keys in its class and the other classes near it."""
+        n = self.class_pairs(least).select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+        c = self.classes.select("class_id", F.col("key").alias("representative"), (F.col("n_keys") - 1).alias("n_copies")).join(n, "class_id", "left")
+        return self.members.select("key", "class_id").join(c, "class_id").select("key", "class_id", "representative", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def near_edges(texts: DataFrame, least: float = NEAR) -> DataFrame:
+    """(a, b, similarity) with a < b of texts that share a fingerprint and agree by ``least`` or more, copies left to NearTexts.membership."""
+    return NearTexts(texts).edges(least)

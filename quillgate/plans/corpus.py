@@ -104,11 +104,25 @@ def prompt_longest_run(s, d):
     return x.select("record_id", similarity.longest_run("pt", "ct", F.array_distinct(F.filter("ct", text.is_identifier))).alias("longest_run"))
 
 
-def near_duplicate_edges(s, d):
-    """Edges between modules whose records share a body_shape."""
+def _near(s, d):
+    """Texts of modules whose records share a body_shape."""
     shape = table(s, d, "record_identity").select("record_id", F.col("body_shape").alias("fingerprint")).where("body_shape <> ''").distinct()
     x = _rtl(s, d).select("record_id", F.concat_ws("/", clean(F.col("ip")), clean(F.col("module"))).alias("key"), "text").join(shape, "record_id")
-    return similarity.near_edges(x.select("key", "fingerprint", text.renamed(F.col("text")).alias("stream")))
+    return similarity.NearTexts(x.select("key", "fingerprint", text.renamed(F.col("text")).alias("stream")))
+
+
+def near_duplicate_edges(s, d):
+    """Edges between modules that represent different texts; near_duplicate_classes has their copies."""
+    return _near(s, d).edges()
+
+
+def near_duplicate_classes(s, d):
+    """Each module with its class of copies, the module that represents it in the edges, and the number of other classes near it."""
+    return _near(s, d).membership()
+
+
+def near_duplicate_class_pairs(s, d):
+    return _near(s, d).class_pairs()
 
 
 def similarity_classes(s, d):
@@ -188,7 +202,7 @@ def change_classes(s, d):
     return j.groupBy(F.when(F.col("old_h").isNull(), "new").when(F.col("old_h") != F.col("h"), "modified").otherwise("unchanged").alias("change")).agg(F.count("*").alias("n_records"))
 
 
-QUERIES = {f.__name__: f for f in (exact_dup_groups, collapsed_dup_groups, body_shape_groups, cross_ip_shapes, record_ids, canonical_records, dataset_identity, text_stats, quantiles_cut, quantiles_rounded, token_counts, module_bodies, alpha_renamed, prompt_overlap, prompt_longest_run, near_duplicate_edges, similarity_classes, marker_counts, absolute_paths, id_leaks, budget_lines, identity_groups, group_sizes, greedy_split, split_summary, split_crossing, split_inheritance, task_breakdown, task_coverage, change_classes)}
+QUERIES = {f.__name__: f for f in (exact_dup_groups, collapsed_dup_groups, body_shape_groups, cross_ip_shapes, record_ids, canonical_records, dataset_identity, text_stats, quantiles_cut, quantiles_rounded, token_counts, module_bodies, alpha_renamed, prompt_overlap, prompt_longest_run, near_duplicate_edges, near_duplicate_classes, near_duplicate_class_pairs, similarity_classes, marker_counts, absolute_paths, id_leaks, budget_lines, identity_groups, group_sizes, greedy_split, split_summary, split_crossing, split_inheritance, task_breakdown, task_coverage, change_classes)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _NL = "chr(10)"

@@ -58,6 +58,20 @@ def test_similarity(spark):
     assert SequenceMatcher(None, "abcd", "abcx").ratio() == 0.75
 
 
+def test_near_texts_keep_copies_and_the_best_pair(spark):
+    s = "key string, fingerprint string, stream string"
+    copies = [(f"c{i}", "f", "a b c d") for i in range(9)] + [("n", "f", "a b c x"), ("z", "f", "q"), ("z", None, "q"), (None, "f", "a")]
+    t = similarity.NearTexts(spark.createDataFrame(copies * 2, s))
+    m = {r["key"]: r for r in t.membership().collect()}
+    assert len(m) == 11 and all(m[f"c{i}"]["representative"] == "c0" and m[f"c{i}"]["n_copies"] == 8 and m[f"c{i}"]["n_links"] == 1 for i in range(9))
+    assert (m["n"]["n_copies"], m["n"]["n_links"], m["z"]["n_links"]) == (0, 1, 0) and len({m[f"c{i}"]["class_id"] for i in range(9)}) == 1
+    several = [("a", "f", "1 2 3 4"), ("b", "f", "9 8 7 6"), ("a", "g", "p q r s"), ("b", "g", "p q r t"), ("a", "h", "p q r s t"), ("b", "h", "p q r s u")]
+    for part in (several, several[::-1]):
+        assert [tuple(r) for r in similarity.near_edges(spark.createDataFrame(part, s)).collect()] == [("a", "b", 0.8)]
+    shared = similarity.NearTexts(spark.createDataFrame([("a", "f", "1 2 3 4"), ("b", "f", "1 2 3 4"), ("a", "f", "1 2 3 5"), ("c", "f", "1 2 3 5")], s))
+    assert shared.edges().count() == 0 and [r["similarity"] for r in shared.class_pairs().collect()] == [0.75]
+
+
 @pytest.mark.parametrize("rounded", [True, False])
 def test_quantiles(spark, rounded):
     v = [5, 1, 1, 9, 3, 3, 3, 8]
