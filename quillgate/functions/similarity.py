@@ -77,6 +77,22 @@ class NearTexts:
         c = self.classes.select("class_id", F.col("key").alias("representative"), (F.col("n_keys") - 1).alias("n_copies")).join(n, "class_id", "left")
         return self.members.select("key", "class_id").join(c, "class_id").select("key", "class_id", "representative", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
+    def tally(self) -> DataFrame:
+        """(class, n_edges, n_pairs, least): classes of similarity over all pairs that share a fingerprint.
+
+        n_edges are pairs of different classes of copies, n_pairs the pairs of keys they stand for, with those inside a class (similarity 1). A key in both
+        classes of a pair is no pair with itself; two keys that meet in several classes count in each.
+        """
+        m = self.members.select("key", "class_id")
+        several = m.join(m.groupBy("key").count().where("count > 1").select("key"), "key")
+        common = several.select("key", F.col("class_id").alias("class_a")).join(several.select("key", F.col("class_id").alias("class_b")), "key").where("class_a <> class_b").groupBy("class_a", "class_b").agg(F.count("*").alias("both"))
+        n = self.classes.select("class_id", "n_keys")
+        p = self.class_pairs(0.0).join(n.select(F.col("class_id").alias("class_a"), F.col("n_keys").alias("na")), "class_a").join(n.select(F.col("class_id").alias("class_b"), F.col("n_keys").alias("nb")), "class_b").join(common, ["class_a", "class_b"], "left")
+        both = F.coalesce("both", F.lit(0))
+        other = p.select("similarity", F.lit(1).alias("edge"), (F.col("na") * F.col("nb") - both * (both + 1) / 2).cast("long").alias("pairs"))
+        same = n.where("n_keys > 1").select(F.lit(1.0).alias("similarity"), F.lit(0).alias("edge"), (F.col("n_keys") * (F.col("n_keys") - 1) / 2).cast("long").alias("pairs"))
+        return other.union(same).groupBy(similarity_class(F.col("similarity")).alias("class")).agg(F.sum("edge").alias("n_edges"), F.sum("pairs").alias("n_pairs"), F.min("similarity").alias("least"))
+
 
 def near_edges(texts: DataFrame, least: float = NEAR) -> DataFrame:
     """(a, b, similarity) with a < b of texts that share a fingerprint and agree by ``least`` or more, copies left to NearTexts.membership."""

@@ -126,7 +126,8 @@ def near_duplicate_class_pairs(s, d):
 
 
 def similarity_classes(s, d):
-    return near_duplicate_edges(s, d).groupBy(similarity.similarity_class(F.col("similarity")).alias("class")).agg(F.count("*").alias("n_edges"), F.min("similarity").alias("least"))
+    """All pairs that share a body_shape by class of similarity: pairs of different texts, pairs of modules with their copies, and the least similarity."""
+    return _near(s, d).tally()
 
 
 def marker_counts(s, d):

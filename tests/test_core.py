@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillgate.functions import expr, ident, similarity, text
 from quillgate.operators import fsm, governance, graph, splits, stats
+from quillgate.plans import corpus
 from quillgate.sources import rtl
 
 
@@ -72,6 +73,19 @@ def test_near_texts_keep_copies_and_the_best_pair(spark):
     assert shared.edges().count() == 0 and [r["similarity"] for r in shared.class_pairs().collect()] == [0.75]
 
 
+def test_similarity_classes_count_all_pairs(spark, tmp_path):
+    ids = "record_id string, body_shape string"
+    rec = "record_id string, module struct<ip: string, name: string>, task struct<id: string>, input struct<kind: string, text: string>, target struct<kind: string, text: string>"
+    texts = {"a": "x <= 1 ; x <= 2 ;", "b": "x <= 1 ; x <= 2 ;", "c": "x <= 1 ; x <= 3 ;", "d": "x <= 1 ; ( [ {", "e": "* * * * * * * * * * * * * * *"}
+    spark.createDataFrame([(k, "h") for k in texts] + [("f", "")], ids).write.parquet(f"{tmp_path}/record_identity.parquet")
+    spark.createDataFrame([(k, ("ip", k), ("t",), ("rtl", v), None) for k, v in texts.items()] + [("f", ("ip", "f"), ("t",), ("rtl", "x"), None)], rec).write.parquet(f"{tmp_path}/dataset_records.parquet")
+    got = {r["class"]: (r["n_edges"], r["n_pairs"]) for r in corpus.similarity_classes(spark, str(tmp_path)).collect()}
+    assert got == {"near_duplicate": (1, 3), "structural": (2, 3), "informational": (3, 4)}
+    two = [("a", "f", "1 2 3 4"), ("b", "f", "1 2 3 4"), ("a", "f", "1 2 3 5"), ("b", "f", "1 2 3 5"), ("c", "f", "1 2 3 5")]
+    got = [tuple(r) for r in similarity.NearTexts(spark.createDataFrame(two, "key string, fingerprint string, stream string")).tally().collect()]
+    assert got == [("near_duplicate", 1, 7, 0.75)]
+
+
 @pytest.mark.parametrize("rounded", [True, False])
 def test_quantiles(spark, rounded):
     v = [5, 1, 1, 9, 3, 3, 3, 8]
