@@ -18,6 +18,11 @@ def instance_edges(docs: DataFrame) -> DataFrame:
     return rows.where("ip <> '' and parent <> '' and child <> ''").distinct()
 
 
+def module_nodes(docs: DataFrame) -> DataFrame:
+    """(ip, module) of structural documents, each once, with or without instances. Null or empty names: no node."""
+    return docs.select(clean(F.col("ip")).alias("ip"), clean(F.col("module")).alias("module")).where("ip <> '' and module <> ''").distinct()
+
+
 def descendants(edges: DataFrame, scope: str = "ip", parent: str = "parent", child: str = "child") -> DataFrame:
     """(scope, ancestor, descendant), distinct: descendant is reached from ancestor through one edge or more.
 
@@ -53,17 +58,20 @@ def descendants(edges: DataFrame, scope: str = "ip", parent: str = "parent", chi
     return out.select(F.col("s").alias(scope), F.col("a").alias("ancestor"), F.col("d").alias("descendant"))
 
 
-def instance_paths(edges: DataFrame, scope: str = "ip", parent: str = "parent", child: str = "child", name: str = "instance") -> DataFrame:
+def instance_paths(edges: DataFrame, scope: str = "ip", parent: str = "parent", child: str = "child", name: str = "instance", nodes: DataFrame | None = None) -> DataFrame:
     """(scope, root, module, path, depth, closes_loop): one row for each path of instances from a root, and for each root itself (depth 0).
 
-    A root has no parent. A path that comes back to a module it already holds ends there with closes_loop; modules on a loop without a root are not reached
+    A root has no parent; without ``nodes`` (scope, module) only modules that have children can be one. A path that comes back to a module it already holds ends there with closes_loop; modules on a loop without a root are not reached
     and show up by the anti join in modules_report. Null instance names are written as ?. A design with shared subtrees has as many rows as elaborated
     instances: that is the result asked for and not capped.
     """
     scratch = Scratch(edges.sparkSession)
     e = scratch.save(edges.select(F.col(scope).alias("s"), F.col(parent).alias("p"), F.col(child).alias("c"), F.coalesce(F.col(name), F.lit("?")).alias("i")).where("s is not null and p is not null and c is not null").distinct())
     kids = e.select("s", F.col("c").alias("p")).distinct()
-    roots = e.select("s", "p").distinct().join(kids, ["s", "p"], "left_anti")
+    tops = e.select("s", "p")
+    if nodes is not None:
+        tops = tops.union(nodes.select(F.col(scope).alias("s"), F.col("module").alias("p")).where("s is not null and p is not null"))
+    roots = tops.distinct().join(kids, ["s", "p"], "left_anti")
     front = scratch.save(roots.select("s", F.col("p").alias("root"), "p", F.col("p").alias("path"), F.array("p").alias("seen"), F.lit(0).alias("depth"), F.lit(False).alias("loop")))
     levels = [front]
     while True:
@@ -78,12 +86,16 @@ def instance_paths(edges: DataFrame, scope: str = "ip", parent: str = "parent",
     return out.select(F.col("s").alias(scope), "root", F.col("p").alias("module"), "path", "depth", F.col("loop").alias("closes_loop"))
 
 
-def modules_report(edges: DataFrame, scope: str = "ip", parent: str = "parent", child: str = "child", name: str = "instance") -> DataFrame:
-    """One row per module: root and path of its shortest path (ties: least path), depth, number of paths, number of modules below, on_loop, reached."""
-    paths = instance_paths(edges, scope, parent, child, name).where("not closes_loop")
+def modules_report(edges: DataFrame, scope: str = "ip", parent: str = "parent", child: str = "child", name: str = "instance", nodes: DataFrame | None = None) -> DataFrame:
+    """One row per module: root and path of its shortest path (ties: least path), depth, number of paths, number of modules below, on_loop, reached.
+
+    The modules are the ends of the edges and ``nodes`` (scope, module): one without edges is its own root at depth 0.
+    """
+    paths = instance_paths(edges, scope, parent, child, name, nodes).where("not closes_loop")
     best = paths.groupBy(scope, "module").agg(F.min(F.struct("depth", "path", "root")).alias("b"), F.count("*").alias("n_paths"))
     pairs = descendants(edges, scope, parent, child)
     below = pairs.groupBy(scope, F.col("ancestor").alias("module")).agg(F.count("*").alias("n_below"), F.max((F.col("ancestor") == F.col("descendant"))).alias("on_loop"))
-    nodes = edges.select(scope, F.col(parent).alias("module")).union(edges.select(scope, F.col(child))).distinct()
-    j = nodes.join(best, [scope, "module"], "left").join(below, [scope, "module"], "left")
+    ends = edges.select(scope, F.col(parent).alias("module")).union(edges.select(scope, F.col(child)))
+    every = (ends if nodes is None else ends.union(nodes.select(scope, "module"))).distinct()
+    j = every.join(best, [scope, "module"], "left").join(below, [scope, "module"], "left")
     return j.select(scope, "module", F.col("b.root").alias("root"), F.col("b.path").alias("path"), F.col("b.depth").alias("depth"), F.coalesce("n_paths", F.lit(0)).alias("n_paths"), F.coalesce("n_below", F.lit(0)).alias("n_below"), F.coalesce("on_loop", F.lit(False)).alias("on_loop"), F.col("b").isNotNull().alias("reached"))

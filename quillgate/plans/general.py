@@ -21,7 +21,7 @@ def p2_paths(s, d):
 
 
 def p2_modules(s, d):
-    return hierarchy.modules_report(_edges(s, d))
+    return hierarchy.modules_report(_edges(s, d), nodes=hierarchy.module_nodes(table(s, d, "structural_wrap")))
 
 
 def p2_cycles(s, d):

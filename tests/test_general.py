@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgate.operators import components, hierarchy, nested, references, skew
+from quillgate.plans import general
 
 EDGE = "ip string, parent string, child string, instance string"
 
@@ -55,6 +56,14 @@ def test_paths_loops_and_shared_children(spark):
     assert all(r["on_loop"] and not r["reached"] and r["path"] is None for r in hierarchy.modules_report(lonely).collect())
 
 
+def test_modules_without_instances_have_a_row(spark, tmp_path):
+    s = "doc_id long, ip string, module string, instances array<struct<name: string, module: string>>"
+    docs = [(1, "x", "top", [("u", "leaf")]), (2, "x", "leaf", []), (3, " x ", "alone", None), (4, "x", "empty", []), (5, "y", "leaf", [None]), (6, "x", "self", [("u", "self")]), (7, "x", None, []), (8, "", "m", [])]
+    spark.createDataFrame(docs + docs[2:4], s).write.parquet(f"{tmp_path}/structural_wrap.parquet")
+    got = set(rows(general.p2_modules(spark, str(tmp_path)), "ip", "module", "root", "path", "depth", "n_paths", "n_below", "on_loop", "reached"))
+    assert got == {("x", "top", "top", "top", 0, 1, 1, False, True), ("x", "leaf", "top", "top/u", 1, 1, 0, False, True), ("x", "self", None, None, None, 0, 1, True, False)} | {(i, m, m, m, 0, 1, 0, False, True) for i, m in (("x", "alone"), ("x", "empty"), ("y", "leaf"))}
+
+
 def test_instance_edges_clean(spark):
     s = "doc_id long, ip string, module string, extra int, instances array<struct<name: string, module: string>>"
     df = spark.createDataFrame([(1, " x ", "a\t", 0, [(" u ", " b "), (None, "c"), ("v", None), None]), (1, "x", "a", 1, [("u", "b")]), (2, "x", "d", 0, None), (3, "x", "e", 0, [])], s)
