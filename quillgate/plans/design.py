@@ -271,7 +271,7 @@ def module_prompts(s, d):
 
 
 def stream_hourly(s, d):
-    return jobs.drain(jobs.hourly(jobs.events(s, d)))
+    return jobs.drain(jobs.hourly(jobs.events(s, d)), "complete")
 
 
 def stream_once(s, d):

@@ -17,16 +17,31 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """The result of a stream over all input there is, written to the shared folder once (its checkpoint beside it)."""
+    """The result of a stream over all input there is, written to the shared folder once (its checkpoint beside it).
+
+    In append mode an aggregate by windows has only those the watermark closed; complete mode has all, the last batch's table is the result.
+    """
     spark = stream.sparkSession
     base = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
-    q = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
+    last: list[str] = []
+    if mode == "complete":  # the file sink appends only
+
+        def keep(df: DataFrame, batch: int) -> None:
+            df.write.mode("overwrite").parquet(f"{base}/out-{batch}")
+            last[:] = [f"{base}/out-{batch}"]
+
+        writer = writer.foreachBatch(keep)
+    else:
+        last.append(f"{base}/out")
+        writer = writer.format("parquet").option("path", last[0])
+    q = writer.start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return spark.read.schema(stream.schema).parquet(*last) if last else spark.createDataFrame([], stream.schema)
 
 
 def hourly(stream: DataFrame) -> DataFrame:
-    """Events per hour and type; the watermark closes windows two hours after the last event seen, so the last windows of a drained input stay open."""
+    """Events per hour and type. The watermark closes windows two hours after the last event seen; a drained input takes complete mode, which has the open ones too."""
     return stream.withWatermark("ts", "2 hours").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "event_type", "n", "total")
 
 

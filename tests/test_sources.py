@@ -1,8 +1,13 @@
 """Sinks, tolerant reading, includes and records."""
 
+from datetime import datetime, timedelta
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import types as T
 
 from quillgate.operators import records
+from quillgate.plans import design
 from quillgate.sources import includes, sinks
 
 
@@ -39,3 +44,18 @@ def test_prompts_within_budget(spark):
     full = records.prompts(df, 10**6).first()
     assert full["prompt"] == "Module m of i\nregister r1\nregister r2\nsubmodule c" and full["n_dropped"] == 0
     assert records.prompts(df, 30).first()["prompt"] == "Module m of i\nregister r1" and records.prompts(df, 1).first()["n_dropped"] == 3
+
+
+def test_drained_stream_counts_every_event(spark, tmp_path):
+    ts = [datetime(2024, 1, 1) + timedelta(minutes=7 * i) for i in range(100)]
+    kinds = ["a" if i % 3 else "b" for i in range(100)]
+    events = pa.table({"event_id": list(range(100)), "ts": pa.array(ts, pa.timestamp("us")), "event_type": kinds, "value": [float(i) for i in range(100)]})
+    pq.write_table(events, tmp_path / "events.parquet")
+    want = {}
+    for i in range(100):
+        key = ts[i].replace(minute=0), kinds[i]
+        n, total = want.get(key, (0, 0.0))
+        want[key] = n + 1, total + i
+    assert {(r["hour"], r["event_type"]): (r["n"], r["total"]) for r in design.stream_hourly(spark, str(tmp_path)).collect()} == want
+    pq.write_table(events.slice(0, 0), tmp_path / "events.parquet")
+    assert design.stream_hourly(spark, str(tmp_path)).count() == 0
