@@ -62,9 +62,9 @@ def test_rare_labels_are_dealt_one_by_one(spark):
 
 
 def test_ties_of_labels_follow_the_room(spark):
-    ids = spark.createDataFrame([ident(f"r{i:05}", ip=f"ip{i % 400}") for i in range(1600)], ID)
+    ids = spark.createDataFrame([ident(f"r{i:05}", ip=f"ip{i % 2000}") for i in range(8000)], ID)  # none is placed one by one
     n = Counter(r["split"] for r in g.grouped_splits(ids, ids.select("record_id", F.col("record_id").alias("group_id"))).collect())
-    assert sum(n.values()) == 1600 and abs(n["validation"] - n["test"]) <= g.BUCKETS
+    assert sum(n.values()) == 8000 and abs(n["validation"] - n["test"]) <= g.BUCKETS
 
 
 def test_heads_count_with_the_small_of_their_label():
