@@ -156,6 +156,43 @@ def test_cross_split_hot_copies(spark):
     assert 0.3 < cov["e"] <= 1
 
 
+def test_evenly_spread_changes_are_found(spark):
+    """No common run of 16 tokens: every tenth token changed, one signal renamed throughout, and texts of 8 to 20 tokens; each beside a crowd of look-alikes."""
+    rnd = random.Random(12)
+    rows = []
+    for f in range(10):
+        w = [rnd.choice("abcdefghijklmnop") + str(rnd.randrange(30)) for _ in range(240)]
+        spread = [f"x{rnd.randrange(999)}" if k % 11 == 5 else t for k, t in enumerate(w)]
+        name = max(set(w), key=w.count)
+        less = [t for k, t in enumerate(w) if k % 11 != 3]
+        rows += [(f"a{f}", "t", "train", " ".join(w)), (f"b{f}", "t", "test", " ".join(spread)), (f"c{f}", "t", "validation", " ".join("ren" if t == name else t for t in w)), (f"d{f}", "t", "test", " ".join(less))]
+        short = [rnd.choice("abcdefgh") + str(rnd.randrange(9)) for _ in range(8 + f)]
+        rows += [(f"e{f}", "t", "train", " ".join(short)), (f"f{f}", "t", "test", " ".join(short[:-1] + ["q"])), (f"g{f}", "t", "test", " ".join(short + ["z"])), (f"h{f}", "u", "test", " ".join(short))]
+    must, may = brute(rows)
+    df = spark.createDataFrame([(r[0], (r[1], 1), ("ip", None, "m"), r[2], ("rtl", r[3]), None, 0) for r in rows], REC)
+    c = x.CrossSplit(df)
+    got = {(r["record_id_a"], r["record_id_b"]) for r in c.pairs().collect()}
+    assert len(must) >= 30 and got == must
+    linked = {(r["a"], r["b"]) for r in x.suffix_links(c.classes).collect()}
+    assert len(linked) < len(must)  # the exact bound was needed
+
+
+def test_scarce_links_hold_in_hot_keys(spark, monkeypatch):
+    """The salted joins give what plain ones give."""
+    from quillgate.operators import skew
+
+    rnd = random.Random(3)
+    base = [f"k{i}" for i in range(60)]
+    rows = [(f"r{i:03}", "t", "train" if i % 3 else "test", " ".join(base[: 50 + i % 7] + [f"u{i}"])) for i in range(90)]
+    rnd.shuffle(rows)
+    must, _ = brute(rows)
+    monkeypatch.setattr(skew, "LEAST", 20)
+    monkeypatch.setattr(x, "LEAST", 20)
+    monkeypatch.setattr(skew, "SHARE", 40)
+    df = spark.createDataFrame([(r[0], (r[1], 1), ("ip", None, "m"), r[2], ("rtl", r[3]), None, 0) for r in rows], REC)
+    assert {(r["record_id_a"], r["record_id_b"]) for r in x.CrossSplit(df).pairs().collect()} == must
+
+
 def test_coverage_is_every_shared_run(spark):
     rnd = random.Random(5)
     stem = code(rnd, 60).split(" ")
