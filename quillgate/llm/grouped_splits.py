@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components, hub_edges
-from ..operators.skew import attach_by_key
 from ..sources.tables import Scratch, clean
 
 IDENTITIES = ("source_rtl", "module_body", "normalized_ir", "completion")
 SPLITS, RATIOS = ("train", "validation", "test"), (0.7, 0.15, 0.15)
-#: Components above total/HEADS records are placed one by one (there are fewer than HEADS); their label vectors may have CELLS entries in all (checked).
-HEADS, CELLS, BUCKETS = 5000, 1_000_000, 256
+#: The different label vectors of components with several labels may have CELLS entries in all (checked); classes are ranked inside BUCKETS hash buckets.
+CELLS, BUCKETS = 1_000_000, 256
 
 
 def present(col):
@@ -55,8 +54,11 @@ def tied_records(groups: DataFrame) -> DataFrame:
     return others.union(others.select(F.col("group_id").alias("record_id"), "group_id").distinct())
 
 
-def _pour(needs: list[float], size: int, n: int, room: list[float] | None = None) -> list[int]:
-    """How many of n equal items of that size each split gets if each item goes to the split with the largest need left (ties: the most room left, then the earlier split)."""
+def _pour(needs: list[float], size: int, n: int, room: list[float] | None = None, weight: int | None = None) -> list[int]:
+    """How many of n equal items each split gets if each item goes to the split with the largest need left (ties: the most room left, then the earlier split).
+
+    An item takes ``size`` off the need of its split and ``weight`` (size, if not given) off its room.
+    """
     lo, hi = min(needs) - size * n - size, max(needs)
     for _ in range(80):
         mid = (lo + hi) / 2
@@ -64,12 +66,13 @@ def _pour(needs: list[float], size: int, n: int, room: list[float] | None = None
         lo, hi = (mid, hi) if taken > n else (lo, mid)
     got = [max(0, -int(-(d - hi) // size)) for d in needs]
     left = [d - g * size for d, g in zip(needs, got)]
-    free = [r - g * size for r, g in zip(room or [0.0] * len(needs), got)]
+    weight = size if weight is None else weight
+    free = [r - g * weight for r, g in zip(room or [0.0] * len(needs), got)]
     for _ in range(n - sum(got)):
         k = max(range(len(left)), key=lambda i: (round(left[i], 6), round(free[i], 6), -i))
         got[k] += 1
         left[k] -= size
-        free[k] -= size
+        free[k] -= weight
     return got
 
 
@@ -83,24 +86,24 @@ def _fill(needs: list[float], amount: float) -> list[float]:
     return [0.0] * len(needs)
 
 
-def place(heads: list[tuple[str, dict[str, int]]], totals: dict[str, int], ratios=RATIOS) -> dict[str, int]:
-    """The split of each head (component, label vector), placed one by one; totals: the records of each of their labels, those of small components included.
+def place(classes: list[tuple[str, dict[str, int], int]], totals: dict[str, int], ratios=RATIOS) -> dict[str, list[int]]:
+    """How many components of each class go to each split; a class is (name, label vector of several labels, number of components).
 
-    Repeats: take the label with the fewest records outstanding, place its heads, largest first, each into the split that needs the label most; ties go to the
-    split with the most room left, then to the earlier one. The small components of the label follow; they change nothing but the room for later labels, as
-    every head with this label is placed by then, so they are poured elsewhere (``_pours``) and count here by their number only.
+    totals: the records of each label, those of components with this label only included. Repeats: take the label with the fewest records outstanding, place its
+    components of several labels, largest first, each into the split that needs the label most (ties: the most room left, then the earlier split); the components
+    that have this label only follow. The latter change nothing but the room for later labels, so they are poured elsewhere (``_pours``) and count here by
+    their number only. Equal components are poured at once, which gives what one by one gives.
     """
     k = len(ratios)
     need = {lab: [t * r for r in ratios] for lab, t in totals.items()}
     room = [sum(totals.values()) * r for r in ratios]
     out, minor = dict(totals), dict(totals)
-    weight = {c: sum(v.values()) for c, v in heads}
     at = defaultdict(list)
-    for c, v in heads:
-        for lab, n in v.items():
-            at[lab].append((c, v))
-            minor[lab] -= n
-    where: dict[str, int] = {}
+    for c in classes:
+        for lab, n in c[1].items():
+            at[lab].append(c)
+            minor[lab] -= n * c[2]
+    where: dict[str, list[int]] = {}
     queue = [(n, lab) for lab, n in out.items()]
     heapq.heapify(queue)
     done = set()
@@ -109,22 +112,21 @@ def place(heads: list[tuple[str, dict[str, int]]], totals: dict[str, int], ratio
         if lab in done or n != out[lab]:
             continue
         done.add(lab)
-        for c, v in sorted((x for x in at[lab] if x[0] not in where), key=lambda x: (-weight[x[0]], x[0])):
-            j = max(range(k), key=lambda j: (round(need[lab][j], 6), round(room[j], 6), -j))
-            where[c] = j
-            for x, m in v.items():
-                need[x][j] -= m
-                out[x] -= m
-                room[j] -= m
+        for name, vector, count in sorted((c for c in at[lab] if c[0] not in where), key=lambda c: (-sum(c[1].values()), c[0])):
+            weight = sum(vector.values())
+            got = where[name] = _pour(need[lab], vector[lab], count, room, weight)
+            for x, m in vector.items():
+                need[x] = [d - g * m for d, g in zip(need[x], got)]
+                out[x] -= m * count
                 if x not in done:
                     heapq.heappush(queue, (out[x], x))
-        for j, x in enumerate(_fill(need[lab], minor[lab])):
-            room[j] -= x
+            room = [r - g * weight for r, g in zip(room, got)]
+        room = [r - x for r, x in zip(room, _fill(need[lab], minor[lab]))]
     return where
 
 
 def _pours(ratios):
-    """Cuts of the small components: rows (bucket, total, label, size, n, h0, h1, ...) in the order bucket, total, label, size from the largest; h: records of the label that heads brought to each split.
+    """Cuts of the components with one label: rows (bucket, total, label, size, n, h0, h1, ...) in the order bucket, total, label, size from the largest; h: records of the label that components of several labels brought to each split.
 
     Every label is poured for itself, the rarest first; a bucket carries the room its labels have left so far, for ties.
     """
@@ -158,45 +160,48 @@ def _pours(ratios):
 def grouped_splits(records: DataFrame, groups: DataFrame, label: str = "ip", splits=SPLITS, ratios=RATIOS) -> DataFrame:
     """(record_id, group_id, split): every record once, whole groups, shares near ``ratios`` overall and per label.
 
-    Label vectors are summed per group in two steps (group and label, then group), so no group is gathered. Groups of more than total/HEADS records go to the
-    driver as a vector each (fewer than HEADS of them, CELLS entries, checked); the rest is one histogram row for each (rarest label, size). No label is pooled
-    with others, however rare: the histogram stays distributed and each label is poured on its own. Within such a class the groups are told apart by their rank
-    in BUCKETS hash buckets plus the buckets' offsets: a class that holds a third of all records is never one task. Null labels are a label of their own. A
-    record_id delivered twice counts once, under its least label.
+    Label vectors are summed per group in two steps (group and label, then group), so no group is gathered; a vector has as many entries as there are labels at
+    most. Groups with equal vectors are one class. The rule is the same at every size: labels from the rarest outstanding on; groups of several labels first,
+    largest first, then those of one label (``place``). Classes of several labels are placed on the driver, by their vectors and counts only: their number
+    grows with the kinds of vectors, not with the rows, and more than CELLS entries are refused. Classes of one label never leave the executors: each label is
+    poured on its own (``_pours``). The groups of a class are told apart by their rank in BUCKETS hash buckets plus the buckets' offsets: a class that holds a
+    third of all records is never one task. Null labels are a label of their own. A record_id delivered twice counts once, under its least label.
     """
     spark: SparkSession = records.sparkSession
     scratch = Scratch(spark)
     k = len(splits)
     lab = records.select("record_id", F.coalesce(clean(F.col(label)), F.lit("")).alias("label")).where("record_id is not null").groupBy("record_id").agg(F.min("label").alias("label"))
-    cells, seen = scratch.counted(groups.join(lab, "record_id").groupBy("group_id", "label").agg(F.count("*").alias("n")), total=F.sum("n"))
-    total = seen["total"] or 0
-    sums = scratch.save(cells.groupBy("label").agg(F.sum("n").alias("all_n"), F.count("*").alias("held")))
-    known = attach_by_key(cells, sums, "label", "all_n", "held", seen["n"])
-    comps = scratch.save(known.groupBy("group_id").agg(F.sum("n").alias("size"), F.min(F.struct("all_n", "label")).alias("rare")).select("group_id", "size", F.col("rare.label").alias("label")))
-    large = comps.where(F.col("size") > total // HEADS).select("group_id")
-    vectors, held = scratch.counted(cells.join(F.broadcast(large), "group_id").select("group_id", "label", "n"))
-    if held["n"] > CELLS:
-        raise ValueError(f"large groups hold {held['n']} labels in all, more than {CELLS}")
-    bucket = F.pmod(F.xxhash64("group_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
-    minor = comps.where(F.col("size") <= total // HEADS).select("group_id", "label", "size", bucket)
-    tally = scratch.save(minor.groupBy("label", "size", "bucket").agg(F.count("*").alias("n")))
-    classes = tally.groupBy("label", "size").agg(F.sum("n").alias("n"))
-    totals = classes.select("label", (F.col("size") * F.col("n")).alias("n")).union(vectors.select("label", "n")).groupBy("label").agg(F.sum("n").alias("total"))
-    heads: dict[str, dict[str, int]] = defaultdict(dict)
-    of = {}
-    for row in vectors.join(totals, "label").select("group_id", "label", "n", "total").toLocalIterator():
-        heads[row["group_id"]][row["label"]] = row["n"]
-        of[row["label"]] = row["total"]
-    where = place(list(heads.items()), of, ratios)
-    big = spark.createDataFrame([(c, splits[j], j) for c, j in where.items()], "group_id string, split string, j int")
-    brought = vectors.join(F.broadcast(big), "group_id").groupBy("label").agg(*[F.sum(F.when(F.col("j") == j, F.col("n")).otherwise(0)).alias(f"h{j}") for j in range(k)])
-    poured = classes.join(totals, "label").join(brought, "label", "left").select(F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int").alias("bucket"), "total", "label", "size", "n", *[F.coalesce(f"h{j}", F.lit(0)).alias(f"h{j}") for j in range(k)])
+    cells = scratch.save(groups.join(lab, "record_id").groupBy("group_id", "label").agg(F.count("*").alias("n")))
+    totals = scratch.save(cells.groupBy("label").agg(F.sum("n").alias("total")))
+    vectors = cells.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("label", "n"))).alias("v"))
+    one = F.size("v") == 1
+    name = F.when(one, F.concat_ws("|", F.lit("one"), F.col("v")[0]["n"].cast("string"), F.col("v")[0]["label"])).otherwise(F.concat(F.lit("several|"), F.sha2(F.to_json("v"), 256)))
+    bucket = F.pmod(F.xxhash64("group_id"), F.lit(BUCKETS)).cast("int")
+    comps = scratch.save(vectors.select("group_id", "v", name.alias("cls"), bucket.alias("bucket")))
+    tally = scratch.save(comps.groupBy("cls", "bucket").agg(F.count("*").alias("n"), F.first("v").alias("v")))
+    classes = scratch.save(tally.groupBy("cls").agg(F.sum("n").alias("n"), F.first("v").alias("v")))
+    several, held = scratch.counted(classes.where(~one), cells=F.sum(F.size("v")))
+    if (held["cells"] or 0) > CELLS:
+        raise ValueError(f"the label vectors of groups with several labels have {held['cells']} entries, more than {CELLS}")
+    kinds = [(r["cls"], {x["label"]: x["n"] for x in r["v"]}, r["n"]) for r in several.toLocalIterator()]
+    of = {r["label"]: r["total"] for r in totals.join(several.select(F.explode("v.label").alias("label")).distinct(), "label").toLocalIterator()}
+    where = place(kinds, of, ratios)
+    brought = {x: [0] * k for x in of}
+    for c, v, _ in kinds:
+        for x, m in v.items():
+            brought[x] = [b + g * m for b, g in zip(brought[x], where[c])]
+    heads = spark.createDataFrame([(x, *b) for x, b in brought.items()], "label string, " + ", ".join(f"h{j} long" for j in range(k)))
+    single = classes.where(one).select("cls", "n", F.col("v")[0]["label"].alias("label"), F.col("v")[0]["n"].alias("size"))
+    poured = single.join(totals, "label").join(heads, "label", "left").select(F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int").alias("bucket"), "total", "label", "size", "n", *[F.coalesce(f"h{j}", F.lit(0)).alias(f"h{j}") for j in range(k)])
     poured = poured.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").sortWithinPartitions("bucket", "total", "label", F.desc("size"))
     cut = poured.mapInArrow(_pours(ratios), "label string, size long, " + ", ".join(f"c{j} long" for j in range(k)))
-    before = tally.withColumn("offset", F.sum("n").over(Window.partitionBy("label", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("label", "size", "bucket", F.coalesce("offset", F.lit(0)).alias("offset")).join(cut, ["label", "size"])
-    ranked = minor.withColumn("rk", F.row_number().over(Window.partitionBy("label", "size", "bucket").orderBy(F.xxhash64("group_id", F.lit(7)), "group_id"))).join(before, ["label", "size", "bucket"])
+    cut = single.join(cut, ["label", "size"]).select("cls", *[f"c{j}" for j in range(k)])
+    upto = [(c, *[sum(g[: j + 1]) for j in range(k)]) for c, g in where.items()]
+    cut = cut.union(spark.createDataFrame(upto, "cls string, " + ", ".join(f"c{j} long" for j in range(k))))
+    before = tally.withColumn("offset", F.sum("n").over(Window.partitionBy("cls").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).select("cls", "bucket", F.coalesce("offset", F.lit(0)).alias("offset")).join(cut, "cls")
+    ranked = comps.select("group_id", "cls", "bucket").withColumn("rk", F.row_number().over(Window.partitionBy("cls", "bucket").orderBy(F.xxhash64("group_id", F.lit(7)), "group_id"))).join(before, ["cls", "bucket"])
     pick = F.lit(splits[-1])
     for j in range(k - 2, -1, -1):
         pick = F.when(F.col("offset") + F.col("rk") <= F.col(f"c{j}"), splits[j]).otherwise(pick)
-    chosen = scratch.save(ranked.select("group_id", pick.alias("split")).union(big.select("group_id", "split")))
+    chosen = scratch.save(ranked.select("group_id", pick.alias("split")))
     return groups.join(chosen, "group_id").select("record_id", "group_id", "split")

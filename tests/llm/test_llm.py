@@ -67,8 +67,66 @@ def test_ties_of_labels_follow_the_room(spark):
     assert sum(n.values()) == 8000 and abs(n["validation"] - n["test"]) <= g.BUCKETS
 
 
-def test_heads_count_with_the_small_of_their_label():
-    assert g.place([("a", {"x": 10}), ("b", {"x": 2, "y": 3})], {"x": 20, "y": 3}) == {"b": 0, "a": 0}
+def one_by_one(comps, ratios=g.RATIOS):
+    """The rule without classes: comps {group: label vector} to {group: split}."""
+    total = Counter()
+    for v in comps.values():
+        total.update(v)
+    need = {x: [n * r for r in ratios] for x, n in total.items()}
+    room = [sum(total.values()) * r for r in ratios]
+    out, done, where = dict(total), set(), {}
+    while len(done) < len(total):
+        lab = min((n, x) for x, n in out.items() if x not in done)[1]
+        done.add(lab)
+        todo = [c for c, v in comps.items() if lab in v and c not in where]
+        for c in sorted(todo, key=lambda c: (len(comps[c]) == 1, -sum(comps[c].values()), sorted(comps[c].items()))):
+            j = max(range(3), key=lambda j: (round(need[lab][j], 6), round(room[j], 6), -j))
+            where[c] = j
+            for x, m in comps[c].items():
+                need[x][j] -= m
+                out[x] -= m
+                room[j] -= m
+    return where
+
+
+def test_classes_give_what_one_by_one_gives(spark):
+    rnd = random.Random(5)
+    comps, rows = {}, []
+    for c in range(900):
+        v = Counter(rnd.choices("abcdefghijkl", [40, 20, 10, 8, 5, 3, 2, 2, 1, 1, 1, 1], k=rnd.choice([1, 1, 1, 2, 3, 8])))
+        comps[f"g{c:04}"] = dict(v)
+        rows += [(f"g{c:04}", x) for x, n in v.items() for _ in range(n)]
+    ids = spark.createDataFrame([(f"r{i:05}", c, x) for i, (c, x) in enumerate(rows)], "record_id string, group_id string, ip string")
+    got = g.grouped_splits(ids.select("record_id", "ip"), ids.select("record_id", "group_id")).join(ids.select("record_id", "ip"), "record_id").collect()
+    split = {r["group_id"]: r["split"] for r in got}
+    assert len(got) == len(rows) and len(split) == 900
+    n, m = Counter((r["ip"], r["split"]) for r in got), Counter()
+    for c, j in one_by_one(comps).items():
+        for x, k in comps[c].items():
+            m[x, g.SPLITS[j]] += k
+    assert all(abs(n[q] - m[q]) <= 2 for q in n | m), {q: (n[q], m[q]) for q in n | m if n[q] != m[q]}
+
+
+def test_shares_per_label_of_many_records(spark):
+    """66,000 records, 400 labels of 15 to thousands, groups of one label and of several, one group of 2,000."""
+    n = F.floor(F.col("id") / 30)
+    group = F.when(F.col("id") < 2000, F.lit("g0")).when(F.col("id") % 5 == 0, F.format_string("m%d", F.floor(F.col("id") / 45))).otherwise(F.format_string("s%d", F.floor(F.col("id") / 2)))
+    x = spark.range(66_000).select(F.format_string("r%06d", "id").alias("record_id"), group.alias("group_id"), F.when(n % 3 == 0, "quartz").otherwise(F.format_string("ip%d", n * 7919 % 400)).alias("ip")).cache()
+    got = g.grouped_splits(x.select("record_id", "ip"), x.select("record_id", "group_id")).join(x.select("record_id", "ip"), "record_id").cache()
+    assert got.count() == 66_000 and got.groupBy("group_id").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
+    n = Counter({(r["ip"], r["split"]): r["n"] for r in got.groupBy("ip", "split").agg(F.count("*").alias("n")).collect()})
+    total = Counter()
+    for (ip, _), k in n.items():
+        total[ip] += k
+    big = {r["ip"]: r["n"] for r in x.where("group_id = 'g0'").groupBy("ip").agg(F.count("*").alias("n")).collect()}
+    for ip, t in total.items():
+        for s, r in zip(g.SPLITS, g.RATIOS):
+            assert abs(n[ip, s] - t * r) <= max(12, 0.05 * t) + big.get(ip, 0), (ip, s, t, n[ip, s])
+    assert abs(sum(n[ip, "train"] for ip in total) / 66_000 - 0.7) < 0.02
+
+
+def test_components_of_several_labels_come_first():
+    assert g.place([("a", {"x": 7, "z": 3}, 1), ("b", {"x": 2, "y": 3}, 1)], {"x": 20, "y": 3, "z": 3}) == {"b": [1, 0, 0], "a": [1, 0, 0]}
     assert sum(g._fill([5.0, 3.0, -1.0], 4.0)) == pytest.approx(4.0) and g._fill([5.0, 3.0, -1.0], 4.0) == pytest.approx([3.0, 1.0, 0.0])
 
 
