@@ -1,17 +1,71 @@
-"""Connected components by alternating large-star and small-star rounds.
+"""Connected components: local contraction, then alternating large-star and small-star rounds.
 
-Each round costs a constant number of shuffles of the edge table and the number of rounds grows with the logarithm of the graph's size. Nothing but two
+Every partition first ties its own edges together by union-find and hands on one edge per node (a combine before the shuffle). What is left is finished in one
+task if it has at most ONE_TASK edges, which is checked; otherwise by rounds over the cluster. Either way gives the same components. Each round costs a constant number of shuffles of the edge table and the number of rounds grows with the logarithm of the graph's size. Nothing but two
 counters per round reaches the driver. Hub nodes (a value held by a third of all records) are handled by attach_by_key: their rows are never gathered.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Scratch
 from .skew import attach_by_key
 
+#: Edges finished in one task (some 100 MB), and nodes a partition ties at once.
+ONE_TASK, HELD = 1_000_000, 500_000
+
+
+def _tied(parent: dict) -> tuple[list, list]:
+    """Each node beside the least node of its tree."""
+    nodes, roots = list(parent), []
+    for x in nodes:
+        r = x
+        while parent[r] != r:
+            r = parent[r]
+        while parent[x] != r:
+            parent[x], x = r, parent[x]
+        roots.append(r)
+    return nodes, roots
+
+
+def _contract(batches: Iterator[pa.RecordBatch], held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) to (node, least node it is tied to in this partition); nodes on their own stay as loops."""
+    parent: dict = {}
+    schema = None
+
+    def given():
+        nodes, roots = _tied(parent)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, schema.field(0).type), pa.array(roots, schema.field(0).type)], names=["a", "b"])
+
+    for batch in batches:
+        schema = batch.schema
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = parent.setdefault(x, x), parent.setdefault(y, y)
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            while parent[y] != y:
+                parent[y] = y = parent[parent[y]]
+            if x < y:
+                parent[y] = x
+            elif y < x:
+                parent[x] = y
+        if len(parent) > held:
+            yield given()
+            parent = {}
+    if parent:
+        yield given()
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole of at most ONE_TASK edges."""
+    for b in _contract(batches, 2 * ONE_TASK):
+        yield b.rename_columns(["node", "component"])
+
 
 def _star(pairs: DataFrame) -> DataFrame:
     """pairs (u, v): for each u the least of u and all its v as m, and the number of its rows."""
@@ -27,7 +81,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     spark = edges.sparkSession
     scratch = Scratch(spark)
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    first, seen = scratch.counted(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), ties=F.count_if(F.expr("a <> b")))
+    kind = e.schema["a"].dataType.simpleString()
+    near, seen = scratch.counted(e.mapInArrow(_contract, f"a {kind}, b {kind}"))
+    if seen["n"] <= ONE_TASK:
+        return near.coalesce(1).mapInArrow(_finish, f"node {kind}, component {kind}")
+    first, seen = scratch.counted(near.distinct(), ties=F.count_if(F.expr("a <> b")))
     loops = first.where("a = b").select(F.col("a").alias("node"))
     now, before, total = first.where("a <> b"), None, seen["ties"]
     old = None

@@ -27,6 +27,10 @@ _ESCAPE = re.compile(rb'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})')
 _BOM = b"\xef\xbb\xbf"
 
 
+def good_escapes(raw: bytes) -> bool:
+    return not _ESCAPE.sub(b"", raw).count(b"\\")
+
+
 class Index:
     """Structural index of a list of documents. A node is the number of a value token; ``root[d]`` is that of document d, -1 if it isn't whole JSON."""
 
@@ -163,9 +167,17 @@ class Index:
         # children by (container, key or item)
         keyed = vals[self.key_token[vals] >= 0]
         words: dict[bytes, int] = {}
-        self.words = words
-        codes = np.fromiter((words.setdefault(buf[a:z], len(words)) for a, z in zip((pos[self.key_token[keyed]] + 1).tolist(), (self.end[self.key_token[keyed]] - 1).tolist())), np.int64, len(keyed))
-        self.width = len(words) + 1
+        names: dict[str, int] = {}  # a key may be written with escapes
+
+        def code(raw: bytes) -> int:
+            if raw not in words:
+                name = json.loads(b'"' + raw + b'"', strict=False) if 92 in raw and good_escapes(raw) else raw.decode("utf-8", "replace")
+                words[raw] = names.setdefault(name, len(names))
+            return words[raw]
+
+        self.names = names
+        codes = np.fromiter((code(buf[a:z]) for a, z in zip((pos[self.key_token[keyed]] + 1).tolist(), (self.end[self.key_token[keyed]] - 1).tolist())), np.int64, len(keyed))
+        self.width = len(names) + 1
         ck = parent[keyed] * self.width + codes
         o = np.lexsort((keyed, ck))
         self.ckey, self.cval = ck[o], keyed[o]
@@ -175,7 +187,7 @@ class Index:
 
     def child(self, nodes: np.ndarray, key: str) -> np.ndarray:
         """For each node its member of that name (the last, if repeated), -1 if there is none."""
-        code = self.words.get(json.dumps(key).encode()[1:-1])
+        code = self.names.get(key)
         if code is None or not len(nodes):
             return np.full(len(nodes), -1, np.int64)
         want = nodes * self.width + code
@@ -268,19 +280,20 @@ FIELDS = {
 }
 COLUMNS = ("name", "module", "status", "kind", "condition", "from_state", "to_state", "reset", "value", "state_register", "style", "quality", "width", "port", "direction", "signal")
 _AS = {"from": "from_state", "to": "to_state"}
+#: Keys under which a payload may hold the document itself.
 ENVELOPES = ("document",)
 SCHEMA = "raw_id long, item_kind string, pos1 int, pos2 int, pos3 int, " + ", ".join(f"{c} string" for c in COLUMNS)
 _ARROW = pa.schema([("raw_id", pa.int64()), ("item_kind", pa.string()), ("pos1", pa.int32()), ("pos2", pa.int32()), ("pos3", pa.int32())] + [(c, pa.string()) for c in COLUMNS])
 
 
-def documents(index: Index) -> list[Nodes]:
+def documents(index: Index, envelopes: tuple[str, ...] = ENVELOPES) -> list[Nodes]:
     """The documents of each payload: bare, in a list, in an envelope, or written as JSON text; up = (payload,)."""
     rows = np.flatnonzero(index.root >= 0)
     frames, out = Nodes(index, index.root[rows], (rows,)).items(), []
     for f in frames:
         f = Nodes(f.index, f.node, f.up[:1])
         boxed = np.zeros(len(f.node), bool)
-        for key in ENVELOPES:
+        for key in envelopes:
             c = f.index.child(f.node, key)
             hit = ~f.index.is_null(c) & ~boxed
             if hit.any():
@@ -306,8 +319,8 @@ def _emit(ids: np.ndarray, kind: str, frames: list[Nodes], wanted: set[str] | No
         yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
 
-def flatten_batch(ids: np.ndarray, docs: list[bytes], wanted: set[str] | None = None) -> Iterator[pa.RecordBatch]:
-    top = documents(Index(docs))
+def flatten_batch(ids: np.ndarray, docs: list[bytes], wanted: set[str] | None = None, envelopes: tuple[str, ...] = ENVELOPES) -> Iterator[pa.RecordBatch]:
+    top = documents(Index(docs), envelopes)
     machines = walk(top, "fsms")
     yield from _emit(ids, "machine", machines, wanted)
     yield from _emit(ids, "state", walk(machines, "states"), wanted)
@@ -319,13 +332,14 @@ def flatten_batch(ids: np.ndarray, docs: list[bytes], wanted: set[str] | None =
     yield from _emit(ids, "signal", walk(links, "signals"), wanted)
 
 
-def flatten_payloads(raw: DataFrame, *kinds: str) -> DataFrame:
+def flatten_payloads(raw: DataFrame, *kinds: str, envelopes: tuple[str, ...] = ENVELOPES) -> DataFrame:
     """raw (raw_id, payload): one row per machine, state, transition, instance, connection and signal (or the ``kinds`` named), linked by raw_id and positions.
 
     A child's parent has the same raw_id and the leading positions: states and transitions belong to machine pos1, connections to instance pos1, signals to
     connection (pos1, pos2); unused positions are -1. Positions count from 0 in document order, also over null items, which give no row. An item that stands
     alone in place of a list has position 0, a list written as JSON text counts as that list. Absent and null fields are null. Null, empty, truncated or
-    otherwise not whole payloads give no rows; a byte order mark is allowed. Payloads delivered twice give their rows once. No shuffle but for that.
+    otherwise not whole payloads give no rows; a byte order mark is allowed. Payloads delivered twice give their rows once: repeats are dropped before they are
+    read, which is the only shuffle. Keys may be written with escapes; ``envelopes`` are keys that may hold the document itself.
     """
     wanted = set(kinds) or None
 
@@ -340,8 +354,8 @@ def flatten_payloads(raw: DataFrame, *kinds: str) -> DataFrame:
                 part.append(d.to_pybytes() if d is not None else b"")
                 held += len(part[-1])
                 if held > CHUNK or i + 1 == len(texts):
-                    yield from flatten_batch(ids[first : i + 1], part, wanted)
+                    yield from flatten_batch(ids[first : i + 1], part, wanted, envelopes)
                     part, first, held = [], i + 1, 0
 
-    rows = raw.select("raw_id", "payload").where("raw_id is not null and payload is not null and payload <> ''")
+    rows = raw.select("raw_id", "payload").where("raw_id is not null and payload is not null and payload <> ''").distinct()
     return rows.mapInArrow(run, SCHEMA)

@@ -17,7 +17,7 @@ def p2_found(s, d):
 
 
 def p2_paths(s, d):
-    return hierarchy.instance_paths(_edges(s, d))
+    return hierarchy.instance_paths(_edges(s, d), nodes=hierarchy.module_nodes(table(s, d, "structural_wrap")))
 
 
 def p2_modules(s, d):
@@ -30,7 +30,7 @@ def p2_cycles(s, d):
 
 
 def p4_found(s, d):
-    return nested.flatten_payloads(table(s, d, "raw_docs"), "state", "transition", "signal").select("raw_id", "item_kind", "pos1", "pos2", "pos3").distinct()
+    return nested.flatten_payloads(table(s, d, "raw_docs"), "state", "transition", "signal").select("raw_id", "item_kind", "pos1", "pos2", "pos3")
 
 
 def _flat(kind, *cols):
@@ -74,6 +74,8 @@ ins AS (SELECT DISTINCT doc_id, trim(ip, {_B}) AS ip, trim(module, {_B}) AS pare
 e AS (SELECT DISTINCT ip, parent, trim(i.module, {_B}) AS child, coalesce(trim(i.name, {_B}), '?') AS inst FROM ins WHERE i IS NOT NULL AND trim(i.module, {_B}) <> '')"""
 _CLOSURE = f"""WITH RECURSIVE {_EDGES},
 r AS (SELECT ip, parent AS ancestor, child AS descendant FROM e UNION SELECT r.ip, r.ancestor, e.child FROM r JOIN e ON e.ip = r.ip AND e.parent = r.descendant)"""
+_ROOTS = f"""ev AS (SELECT ip, parent AS module FROM e UNION SELECT ip, child FROM e UNION SELECT trim(ip, {_B}), trim(module, {_B}) FROM structural_wrap WHERE trim(ip, {_B}) <> '' AND trim(module, {_B}) <> ''),
+rt AS (SELECT ip, module FROM ev WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.ip = ev.ip AND e.child = ev.module))"""
 _REFS = f"""
 f AS (SELECT DISTINCT doc_id, built_at, fsms FROM fsm_ctrl),
 m AS (SELECT doc_id, built_at, unnest(range(len(fsms))) AS k, fsms FROM f),
@@ -93,10 +95,17 @@ lost AS (SELECT * FROM lostf UNION ALL SELECT * FROM lostd)"""
 SQL = {
     "p2_found": f"{_CLOSURE} SELECT ip, ancestor, descendant FROM r",
     "p2_cycles": f"{_CLOSURE} SELECT ip, ancestor AS module FROM r WHERE ancestor = descendant",
-    "p2_paths": f"""WITH RECURSIVE {_EDGES},
-p AS (SELECT DISTINCT ip, parent AS root, parent AS module, parent AS path, 0 AS depth, false AS closes_loop, [parent] AS seen FROM e WHERE NOT EXISTS (SELECT 1 FROM e AS k WHERE k.ip = e.ip AND k.child = e.parent)
+    "p2_paths": f"""WITH RECURSIVE {_EDGES}, {_ROOTS},
+p AS (SELECT ip, module AS root, module, module AS path, 0 AS depth, false AS closes_loop, [module] AS seen FROM rt
  UNION ALL SELECT p.ip, p.root, e.child, p.path || '/' || e.inst, p.depth + 1, list_contains(p.seen, e.child), list_append(p.seen, e.child) FROM p JOIN e ON e.ip = p.ip AND e.parent = p.module WHERE NOT p.closes_loop)
 SELECT ip, root, module, path, depth, closes_loop FROM p""",
+    "p2_modules": f"""{_CLOSURE}, {_ROOTS},
+el AS (SELECT e.*, EXISTS (SELECT 1 FROM r WHERE r.ip = e.ip AND r.ancestor = e.child AND r.descendant = e.parent) AS looped FROM e),
+p AS (SELECT ip, module, [module] AS names, [module] AS seen, true AS free, 0 AS depth FROM rt
+ UNION ALL SELECT p.ip, el.child, list_append(p.names, el.inst), list_append(p.seen, el.child), p.free AND NOT el.looped, p.depth + 1 FROM p JOIN el ON el.ip = p.ip AND el.parent = p.module AND NOT list_contains(p.seen, el.child)),
+b AS (SELECT ip, module, min({{'d': depth, 'n': names}}) AS b, count(*) FILTER (free) AS n FROM p GROUP BY ALL),
+w AS (SELECT ip, ancestor AS module, count(*) AS n_below, bool_or(ancestor = descendant) AS on_loop FROM r GROUP BY ALL)
+SELECT a.ip, a.module, b.b.n[1] AS root, array_to_string(b.b.n, '/') AS path, b.b.d AS depth, CAST(coalesce(b.n, 0) AS DECIMAL(38,0)) AS n_paths, coalesce(n_below, 0) AS n_below, coalesce(on_loop, false) AS on_loop, b.b IS NOT NULL AS reached FROM ev a LEFT JOIN b USING (ip, module) LEFT JOIN w USING (ip, module)""",
     "p5_found": f"WITH {_REFS} SELECT DISTINCT table_name, doc_id, field_name, ref_name FROM lost",
     "p5_by_month": f"""WITH {_REFS},
 allr AS (SELECT DISTINCT 'fsm_ctrl' AS table_name, doc_id, field_name, ref_name, built_at FROM fr UNION ALL SELECT 'dependency_ctrl', doc_id, 'signal', ref_name, built_at FROM dr),

@@ -83,6 +83,7 @@ class Scratch:
     """Tables written to the shared folder. They cut lineage like checkpoint() and survive lost executors; ``drop`` frees what a later table replaced."""
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.saved: dict[int, tuple[str, DataFrame]] = {}  # holds the frames, so an id means one frame only
 

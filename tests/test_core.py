@@ -2,6 +2,8 @@
 
 from difflib import SequenceMatcher
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +172,20 @@ endmodule"""
     assert by("register")[0]["reset"] == "rst_n" and [r["name"] for r in by("parameter")] == ["IDLE", "RUN"] and by("pin")[1]["value"] == "{d, w}"
     df = spark.createDataFrame([("r", t), ("n", None), ("e", ""), ("b", "module x (")], "record_id string, text string")
     assert {r["record_id"] for r in rtl.read_rtl(df).collect()} == {"r"}
+
+
+def test_strong_components_of_small_and_large_scopes(spark, monkeypatch):
+    rnd = random.Random(2)
+    e = [(s, f"n{rnd.randrange(24):02}", f"n{rnd.randrange(24):02}") for s in ("p", "q") for _ in range(34)] + [("r", "a", "a"), ("r", "a", "b"), (None, "a", "b"), ("r", None, "b")]
+    df = spark.createDataFrame(e, "scope string, src string, dst string")
+    got = sorted(map(tuple, graph.strong_components(df).select("scope", "node", "component").collect()))
+    reach = {(s, a, b) for s, a, b in e if s and a and b}
+    while True:
+        more = reach | {(s, a, d) for s, a, b in reach for t, c, d in reach if s == t and b == c}
+        if more == reach:
+            break
+        reach = more
+    want = sorted({(s, a, min(y for t, x, y in reach if t == s and x == a and (s, y, a) in reach)) for s, a, b in reach if (s, b, a) in reach})
+    assert got == want
+    monkeypatch.setattr(graph, "SCOPE_EDGES", 30)
+    assert sorted(map(tuple, graph.strong_components(df).select("scope", "node", "component").collect())) == want

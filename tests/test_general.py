@@ -56,6 +56,23 @@ def test_paths_loops_and_shared_children(spark):
     assert all(r["on_loop"] and not r["reached"] and r["path"] is None for r in hierarchy.modules_report(lonely).collect())
 
 
+def test_modules_report_against_all_paths(spark, monkeypatch):
+    """Shortest paths and counts level by level agree with walking every path; levels are compacted on the way."""
+    monkeypatch.setattr(hierarchy.Levels, "COMPACT", 2)
+    rnd = random.Random(11)
+    e = sorted({("x", f"m{a:02}", f"m{a + rnd.randrange(1, 5):02}", f"u{k % 4}{'-' * (k % 3)}") for k in range(60) for a in [rnd.randrange(12)]}) + [("x", "m07", "m05", "back")]
+    df = spark.createDataFrame(e, EDGE)
+    paths = [r for r in hierarchy.instance_paths(df).collect() if not r["closes_loop"]]
+    best = {}
+    for r in paths:
+        best[r["module"]] = min(best.get(r["module"], (99,)), (r["depth"], r["path"].split("/")))
+    got = {r["module"]: r for r in hierarchy.modules_report(df).collect()}
+    assert {m: (r["depth"], r["path"].split("/")) for m, r in got.items() if r["reached"]} == best
+    tree = hierarchy.modules_report(df.where("instance <> 'back'")).collect()
+    free = hierarchy.instance_paths(df.where("instance <> 'back'")).groupBy("module").count().collect()
+    assert {r["module"]: int(r["n_paths"]) for r in tree} == {r["module"]: r["count"] for r in free}
+
+
 def test_modules_without_instances_have_a_row(spark, tmp_path):
     s = "doc_id long, ip string, module string, instances array<struct<name: string, module: string>>"
     docs = [(1, "x", "top", [("u", "leaf")]), (2, "x", "leaf", []), (3, " x ", "alone", None), (4, "x", "empty", []), (5, "y", "leaf", [None]), (6, "x", "self", [("u", "self")]), (7, "x", None, []), (8, "", "m", [])]
@@ -85,8 +102,10 @@ def brute_components(edges):
     return sorted((x, find(x)) for x in p)
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
+@pytest.mark.parametrize("limit", [10**9, 1, 0])
 def test_components_against_union_find(spark, limit, monkeypatch):
+    if limit < 2:
+        monkeypatch.setattr(components, "ONE_TASK", 0)  # rounds over the cluster
     if not limit:  # every key hot
         monkeypatch.setattr(skew, "LEAST", 0)
         monkeypatch.setattr(skew, "SHARE", 10)
@@ -127,6 +146,13 @@ def test_shapes_of_lists_and_envelopes(spark):
         assert mine == [("state", 0, 0, -1, "A"), ("state", 0, 2, -1, "B\"\\é"), ("state", 1, 0, -1, "C"), ("transition", 0, 0, -1, None)], i
 
 
+def test_repeats_and_escaped_keys(spark):
+    p = '{"fs\\u006ds": [{"states": [{"n\\u0061me": "A"}]}]}'
+    df = spark.createDataFrame([(1, p, 0), (1, p, 1), (2, '{"box": {"fsms": [{"states": ["S"]}]}}', 0)], "raw_id long, payload string, n int")
+    assert rows(nested.flatten_payloads(df, "state"), "raw_id", "pos1", "pos2", "name") == [(1, 0, 0, "A")]
+    assert rows(nested.flatten_payloads(df, "state", envelopes=("document", "box")), "raw_id", "name") == [(1, "A"), (2, "S")]
+
+
 def test_not_whole_payloads_give_nothing(spark):
     whole = json.dumps({"fsms": [{"states": [{"name": "A", "value": 1.5e3}]}]})
     bad = [whole[:k] for k in range(len(whole))] + [whole + "}", whole + " x", whole.replace(":", ";", 1), whole.replace("1500.0", "01"), whole.replace('"A"', '"A\n"'), whole.replace('"A"', r'"\q"'), whole.replace("]", "}", 1), None, "", " ", "null", "7", '"x"', "[]", whole.replace("[", "[,", 1), whole.replace("{", '{"a" 1,', 1)]
@@ -190,8 +216,26 @@ def test_life_spans(spark):
     assert sorted(str(x["at"]) for x in got) == ["2023-01-01 00:00:00", "2024-02-01 00:00:00", "None"]
 
 
+def test_partial_masks_meet_merged_life_spans(spark, monkeypatch):
+    from datetime import datetime as D
+    from datetime import timedelta
+
+    rnd = random.Random(7)
+    t0 = D(2024, 1, 1)
+    day = lambda n: t0 + timedelta(days=n)
+    spans = [(rnd.choice(["hot", "hot", "b", "c"]), f"k{rnd.randrange(4)}", day(a), None if rnd.random() < 0.02 else day(a + rnd.randrange(0, 25))) for a in [rnd.randrange(500) for _ in range(120)]] + [("d", "k1", None, None)]
+    refs = [(rnd.choice(["hot", "b", "c", "d", "q"]), rnd.choice([None, "k1", "k2"]), day(rnd.randrange(520))) for _ in range(300)]
+    alive = lambda r: any(s[0] == r[0] and r[1] in (None, s[1]) and s[2] and s[2] <= r[2] and (s[3] is None or s[3] > r[2]) for s in spans)
+    want = sorted(map(str, [r for r in refs if not alive(r)]))
+    t, r = spark.createDataFrame(spans, "a string, b string, f timestamp_ntz, u timestamp_ntz"), spark.createDataFrame(refs, "a string, b string, at timestamp_ntz")
+    for few in (references.FEW, 0):
+        monkeypatch.setattr(references, "FEW", few)
+        got = references.orphan_references(r, {"a": "a", "b": "b"}, t, "partial", "at", ("f", "u")).collect()
+        assert sorted(str(tuple(x)) for x in got) == want
+
+
 def test_state_references_dirty(spark):
     s = "doc_id long, built_at timestamp, fsms array<struct<states: array<struct<name: string>>, transitions: array<struct<from_state: string, to_state: string>>>>"
     df = spark.createDataFrame([(1, None, [([("A",), (None,), None], [(" A ", "B"), (None, "*none"), ("  *x", ""), None]), None, (None, [("Q", "A")])]), (2, None, None), (3, None, [])], s)
-    got = rows(references.state_references(df).where("not known"), "doc_id", "machine", "field_name", "ref_name")
+    got = rows(references.orphan_references(references.state_references(df), {"doc_id": "doc_id", "machine": "machine", "ref_name": "name"}, references.machine_states(df)), "doc_id", "machine", "field_name", "ref_name")
     assert got == [(1, 0, "to_state", ""), (1, 0, "to_state", "B"), (1, 2, "from_state", "Q"), (1, 2, "to_state", "A")]
