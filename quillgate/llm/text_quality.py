@@ -1,9 +1,11 @@
 """Problem 8: per-document text statistics, and running prose against everything else.
 
 Every text gets word count, mean word length, symbol ratio, share of lines ending in punctuation, share of common words, and the share of its words that stand in
-running prose. For that a text is cut into units (blocks of lines, list items and delimited rows apart) and each unit gets its share of common words and an
-order score: the mean pointwise mutual information of its neighbouring word classes, counted over the whole corpus per language. Mergeable quantile sketches (KLL) of
-every statistic per language give percentiles and robust z-scores; a unit in the low tail of either is no prose.
+running prose. The common words of each language are learned from the corpus: words that stand in the running text of many documents of the language and seldom
+in rows, lists and labels (document frequencies are kept in mergeable frequent-item summaries). For the last statistic a text is cut by its layout into units
+(blocks of lines, list items and delimited rows apart), and each unit gets mean word length, symbol ratio, share of common words and an order score: the mean pointwise
+mutual information of its neighbouring word classes, counted over the whole corpus per language. Mergeable quantile sketches (KLL) of every statistic per
+language give percentiles and robust z-scores; a unit in a tail of any of them is no prose, and a document most of whose words stand in such units isn't either.
 """
 
 from __future__ import annotations
@@ -13,19 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import Scratch
+from ..sources.tables import Scratch, clean
 
-# Common words by language (fixed values).
-COMMON = {
-    "en": "the a an and or but nor so yet if when while because although though unless until since once before after whenever whereas whether that this these those which who whom whose what where how there it its he she they we you i me him her us them my your our their his is are was were be been being am has have had do does did will would can could may might shall should must not no every each any some all both either neither such same other another one of in on at by for with from to into onto upon over under between among across through against within without outside inside near behind beyond below above beside past toward towards around along during as than then also only very too just again still already often never always here now out up down off about everyone nobody somebody anybody someone",
-    "de": "der die das den dem des ein eine einen einem einer eines und oder aber denn sondern wenn weil dass daß ob als während obwohl bevor nachdem sobald solange bis sodass damit indem wie wo was wer welche welcher welches dieser diese dieses jeder jede jedes jedem jeden alle kein keine keinen ich du er sie es wir ihr mich dich sich uns euch mein dein sein ihre unser ist sind war waren wird werden wurde wurden hat haben hatte kann können muss müssen soll nicht auch nur noch schon immer nie hier dann dabei später schließlich in im an am auf aus bei beim mit nach von vom vor zu zum zur über unter zwischen durch für gegen ohne um",
-    "fr": "le la les l un une des du de d et ou mais donc or ni car si quand lorsque parce que qu qui dont où puisque quoique bien tandis afin ce cet cette ces chaque tout toute tous toutes aucun aucune je tu il elle on nous vous ils elles me te se mon ton son ma ta sa mes tes ses notre votre leur leurs est sont était étaient sera être a ont avait avoir ne pas plus jamais toujours aussi ensuite puis alors ici à au aux en dans sur sous par pour avec sans entre vers chez depuis pendant avant après selon contre comme jusqu enfin sorte",
-    "es": "el la los las lo un una unos unas y e o u pero sino ni que si cuando mientras porque aunque pues como donde quien cual cuyo este esta estos estas ese esa cada todo toda todos todas ningún ninguna yo tú él ella nosotros ellos ellas me te se le les mi tu su mis tus sus nuestro es son era eran fue será ser está están ha han había haber no ni más nunca siempre también después luego entonces aquí a al ante bajo con contra de del desde durante en entre hacia hasta para por según sin sobre tras modo hasta",
-}
-LANGS = tuple(COMMON)
 _WORD = re.compile(r"\w+")
 _BULLET = re.compile(r"[-*+•‣◦–—·o]\s+|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)]\s+|\[[ xX]?\]\s|//+\s*|#+\s+|%+\s+")
 _LABEL = re.compile(r"[\w-]+:\s")
@@ -36,40 +30,119 @@ _END = tuple(".!?:;…。»”\"')")
 _STOP = tuple(".!?…;:")
 #: A unit of fewer than LEAST words is judged with its neighbour; a text of which a smaller share than TIED is common belongs to no language.
 LEAST, TIED = 8, 0.06
-#: Robust z-scores below which a unit is no prose (spreads count as FLOOR at least), and the share of words in prose below which a document isn't.
-Z_COMMON, Z_ORDER, MOST = -4.5, -5.0, 0.5
-FLOOR_COMMON, FLOOR_ORDER = 0.05, 0.25
+#: Statistics of units: robust z-scores of the low and the high tail (None: no tail), and what a spread counts as at least.
+TAILS = {"common": (-4.5, None, 0.08), "score": (-5.0, None, 0.25), "length": (-8.0, 8.0, 0.4), "symbols": (None, 12.0, 0.02)}
+#: The share of words in prose below which a document isn't.
+MOST = 0.5
+#: A language is a stated code of that many documents with running text; its common words stand in COMMON_FROM of them or more and at most OUTSIDE times as
+#: often in units that aren't running text. COMMON_WORDS is the most a language has.
+LEAST_DOCS, COMMON_FROM, OUTSIDE, COMMON_WORDS = 20, 0.02, 0.3, 250
+#: Words a frequent-item summary holds: a word in more than 1/HELD of the documents is never lost.
+HELD = 100_000
 #: Lines behind one marker are prose from so many words a line on; terse sentences have no more words than this on average.
 LONG_LINES, TERSE = 7.6, 16
 
-_COMMON_BY_WORD: dict[str, int] = {}
-for _k, _l in enumerate(LANGS):
-    for _w in COMMON[_l].split():
-        _COMMON_BY_WORD[_w] = _COMMON_BY_WORD.get(_w, 0) | 1 << _k
-_CLASS = {w: 40 + k for k, w in enumerate(sorted(_COMMON_BY_WORD))}
-N_CLASS = 40 + len(_CLASS)
-_memo: dict[str, int] = {}
-
-
-def word_class(w: str) -> int:
-    """Class of a lower-case word for the order score: a common word is its own class; names with digits or underscores 1; else by the last letter."""
-    c = _CLASS.get(w)
-    if c is None:
-        if w.isalpha():
-            k = ord(w[-1])
-            c = 3 + k - 97 if 97 <= k <= 122 else 30
-        else:
-            c = 1
-    if len(_memo) > 500_000:
-        _memo.clear()
-    _memo[w] = c
-    return c
-
-
-_LANG_BITS = np.zeros((N_CLASS, len(LANGS)), np.int32)
-for _w, _c in _CLASS.items():
-    for _k in range(len(LANGS)):
-        _LANG_BITS[_c, _k] = _COMMON_BY_WORD[_w] >> _k & 1
+SUFFIXES, N_CLASS = 40, 40 + COMMON_WORDS
+
+
+def suffix_class(w: str) -> int:
+    """Class of a word that isn't common: names with digits or underscores 1, else by the last letter."""
+    if not w.isalpha():
+        return 1
+    k = ord(w[-1])
+    return 3 + k - 97 if 97 <= k <= 122 else 30
+
+
+class Common:
+    """Common words by language. A word's code is its number among all of them, or its suffix class; ``local`` turns codes into the classes of one language."""
+
+    def __init__(self, words: dict[str, list[str]]):
+        self.langs = tuple(sorted(words))
+        every = sorted({w for ws in words.values() for w in ws})
+        self.code = {w: SUFFIXES + k for k, w in enumerate(every)}
+        self.n = SUFFIXES + len(every)
+        self.bits = np.zeros((self.n, max(len(self.langs), 1)), np.int32)
+        self.local = np.tile(np.concatenate((np.arange(SUFFIXES), [suffix_class(w) for w in every])).astype(np.uint16), (len(self.langs) + 1, 1))
+        for k, name in enumerate(self.langs):
+            for r, w in enumerate(words[name]):
+                self.bits[self.code[w], k] = 1
+                self.local[k, self.code[w]] = SUFFIXES + r
+        self.german = self.langs.index("de") if "de" in self.langs else -1
+        self.memo: dict[str, int] = {}
+
+    def codes(self, ws: list[str]) -> list[int]:
+        memo = self.memo
+        if len(memo) > 500_000:
+            memo.clear()
+        try:
+            return [memo[w] for w in ws]
+        except KeyError:
+            for w in ws:
+                if w not in memo:
+                    memo[w] = self.code[w] if w in self.code else suffix_class(w)
+            return [memo[w] for w in ws]
+
+
+class Summary:
+    """Frequent items (Misra and Gries): counts of at most HELD words; when there are more, all lose what the least of them have."""
+
+    def __init__(self):
+        self.n: dict[tuple[str, str], list[int]] = {}
+
+    def add(self, lang: str, words: set[str], side: int) -> None:
+        n = self.n
+        for w in words:
+            if (lang, w) in n:
+                n[lang, w][side] += 1
+            else:
+                n[lang, w] = [0, 0]
+                n[lang, w][side] = 1
+        if len(n) > 2 * HELD:
+            least = sorted((max(v) for v in n.values()), reverse=True)[HELD]
+            self.n = {k: [max(x - least, 0) for x in v] for k, v in n.items() if max(v) > least}
+
+
+def stated(col):
+    """The language a document states: a code of two or three letters, else null."""
+    c = F.lower(clean(col))
+    return F.when(c.rlike("^[a-z]{2,3}$") & (c != "und"), c)
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frequencies of words: in how many documents of a language in running text and outside; the word "" counts the documents."""
+    seen = Summary()
+    for b in batches:
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+            sides: tuple[set[str], set[str]] = (set(), set())
+            for prose, ws, _ in units(text)[0]:
+                if ws and (not prose or len(ws) >= LEAST):
+                    sides[0 if prose else 1].update(ws)
+            for side, ws in enumerate(sides):
+                if ws:
+                    ws = {w for w in ws if w.isalpha()}
+                    ws.add("")
+                    if side or lang:
+                        seen.add("" if side else lang, ws, side)
+    keys = list(seen.n)
+    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen.n[k][0] for k in keys], pa.int64()), pa.array([seen.n[k][1] for k in keys], pa.int64())], names=["lang", "word", "inside", "outside"])
+
+
+def learn_common(documents: DataFrame) -> Common:
+    """Common words per stated language, from all documents (lang, text). Without a lang column nothing is stated and there are none."""
+    lang = stated(F.col("lang").cast("string")) if "lang" in documents.columns else F.lit(None).cast("string")
+    w = documents.select(lang.alias("lang"), "text").mapInArrow(_words, "lang string, word string, inside long, outside long").groupBy("lang", "word").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    w = Scratch(documents.sparkSession).save(w)
+    docs = w.where("word = '' and lang <> ''").select("lang", F.col("inside").alias("docs")).where(F.col("docs") >= LEAST_DOCS)
+    layout = w.where("lang = ''").select("word", F.col("outside").alias("o"))
+    rest = layout.where("word = ''").select(F.col("o").alias("others"))
+    x = w.where("lang <> '' and word <> ''").select("lang", "word", "inside").join(F.broadcast(docs), "lang").where(F.col("inside") >= COMMON_FROM * F.col("docs"))  # a row per language
+    x = x.join(layout, "word", "left").join(F.broadcast(rest), F.lit(True), "left")
+    x = x.where(F.coalesce(F.col("o") / F.col("others"), F.lit(0.0)) <= OUTSIDE * F.col("inside") / F.col("docs"))
+    top = x.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("inside"), "word"))).where(F.col("k") <= COMMON_WORDS)
+    words: dict[str, list[str]] = {}
+    for r in top.select("lang", "word", "k").orderBy("lang", "k").collect():  # COMMON_WORDS for each stated language
+        words.setdefault(r["lang"], []).append(r["word"])
+    return Common(words)
 
 
 def units(text: str) -> tuple[list[tuple[bool, list[str], str]], int, int]:
@@ -145,52 +218,54 @@ def terse(raw: str, n_words: int, german: bool) -> bool:
     return proper >= 0.9 * len(starts) and (german or len(_CAPITAL.findall(raw)) <= 1.3 * (len(starts) + 1) + 1)
 
 
-def measure(text: str) -> dict:
-    """All statistics of one text but the order scores; per unit its words, how many are common, and its standing: 0 can't be prose, 1 may be, 2 is terse prose."""
+def measure(text: str, common: Common) -> dict:
+    """All statistics of one text but the order scores. Per unit: words, common words, letters, symbols, and its standing: 0 can't be prose by its layout, 1 may be, 2 is terse prose."""
     parts, n_lines, n_end = units(text)
     seqs: list[list[int]] = []
     may: list[int] = []
     raws: list[str] = []
-    get = _memo.get
-    letters = 0
+    letters: list[int] = []
     for prose, ws, raw in parts:
         if not ws:
             continue
-        letters += sum(map(len, ws))
-        c = [get(w) or word_class(w) for w in ws]
+        c = common.codes(ws)
+        size = sum(map(len, ws))
         if seqs and may[-1] == prose and (len(c) < LEAST or len(seqs[-1]) < LEAST):
             seqs[-1] += c
             raws[-1] += " " + raw
+            letters[-1] += size
         else:
             seqs.append(c)
             may.append(int(prose))
             raws.append(raw)
+            letters.append(size)
     sizes = [len(c) for c in seqs]
-    flat = np.fromiter((c for s in seqs for c in s), np.uint16, sum(sizes))
+    flat = np.fromiter((c for s in seqs for c in s), np.int32, sum(sizes))
     n = len(flat)
-    lang, common = -1, np.zeros(len(sizes), np.int64)
-    if n:
-        counts = np.bincount(flat, minlength=N_CLASS)
-        by_lang = counts @ _LANG_BITS
+    lang, held = -1, np.zeros(len(sizes), np.int64)
+    if n and common.langs:
+        by_lang = np.bincount(flat, minlength=common.n) @ common.bits
         k = int(by_lang.argmax())
         lang = k if by_lang[k] >= TIED * n else -1
-        edges = np.cumsum([0, *sizes[:-1]])
-        common = np.add.reduceat(_LANG_BITS[flat, k], edges)
+        held = np.add.reduceat(common.bits[flat, k], np.cumsum([0, *sizes[:-1]]))
         for i, m in enumerate(may):
-            if m and common[i] < 0.25 * sizes[i] and terse(raws[i], sizes[i], k == 1):
+            if m and terse(raws[i], sizes[i], k == common.german):
                 may[i] = 2
-    solid = len(text) - text.count(" ") - text.count("\n") - text.count("\t")
+    symbols = [max(len(r) - r.count(" ") - l, 0) if r else 0 for r, l in zip(raws, letters)]
+    solid, total = len(text) - text.count(" ") - text.count("\n") - text.count("\t"), sum(letters)
     return {
-        "lang": LANGS[lang] if lang >= 0 else "und",
+        "lang": common.langs[lang] if lang >= 0 else "und",
         "n_words": n,
-        "word_length": letters / n if n else 0.0,
-        "symbol_ratio": (solid - letters) / solid if solid else 0.0,
+        "word_length": total / n if n else 0.0,
+        "symbol_ratio": (solid - total) / solid if solid else 0.0,
         "end_share": n_end / n_lines if n_lines else 0.0,
-        "common_share": int(common.sum()) / n if n else 0.0,
+        "common_share": int(held.sum()) / n if n else 0.0,
         "sizes": sizes,
         "may": may,
-        "common": common.tolist(),
-        "classes": flat,
+        "common": held.tolist(),
+        "letters": letters,
+        "symbols": symbols,
+        "classes": common.local[lang][flat],
     }
 
 
@@ -209,55 +284,68 @@ def information(counts: np.ndarray) -> np.ndarray:
 
 
 STATS = ("n_words", "word_length", "symbol_ratio", "end_share", "common_share")
-_MEASURED = "doc_id long, lang string, n_words long, word_length double, symbol_ratio double, end_share double, common_share double, sizes array<int>, may array<int>, common array<int>, classes binary"
-_DOC = [("doc_id", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64())] + [(c, pa.float64()) for c in STATS[1:]] + [(c, pa.list_(pa.int32())) for c in ("sizes", "may", "common")]
+_MEASURED = "doc_id long, lang string, n_words long, word_length double, symbol_ratio double, end_share double, common_share double, sizes array<int>, may array<int>, common array<int>, letters array<int>, symbols array<int>, classes binary"
+_DOC = [("doc_id", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64())] + [(c, pa.float64()) for c in STATS[1:]] + [(c, pa.list_(pa.int32())) for c in ("sizes", "may", "common", "letters", "symbols")]
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([*_DOC, ("classes", pa.binary())])
-    for b in batches:
-        rows = [measure(t) for t in b.column("text").to_pylist()]
-        arrays = [b.column("doc_id")] + [pa.array([r[f.name] for r in rows], f.type) for f in list(schema)[1:-1]] + [pa.array([r["classes"].tobytes() for r in rows], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+def _measure(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*_DOC, ("classes", pa.binary())])
+        common = shared.value
+        for b in batches:
+            rows = [measure(t, common) for t in b.column("text").to_pylist()]
+            arrays = [b.column("doc_id")] + [pa.array([r[f.name] for r in rows], f.type) for f in list(schema)[1:-1]] + [pa.array([r["classes"].tobytes() for r in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return run
 
 
-def _batch_units(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _batch_units(b: pa.RecordBatch, langs: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Classes, unit of each, language of each unit, sizes of the units of a batch."""
     classes = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint16)
     sizes = b.column("sizes").flatten().to_numpy()
     per_doc = np.diff(b.column("sizes").offsets.to_numpy())
-    code = {name: k for k, name in enumerate((*LANGS, "und"))}
+    code = {name: k for k, name in enumerate((*langs, "und"))}
     lang = np.repeat(np.array([code[x] for x in b.column("lang").to_pylist()], np.int64), per_doc)
     return classes, np.repeat(np.arange(len(sizes)), sizes), lang, sizes
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    acc: dict[tuple[int, int], np.ndarray] = {}
-    for b in batches:
-        classes, unit, lang, _ = _batch_units(b)
-        for d in (1, 2):
-            if len(unit) <= d:
-                continue
-            code, u = pairs(classes, unit, d)
-            of = lang[u]
-            for k in np.unique(of).tolist():
-                n = np.bincount(code[of == k], minlength=N_CLASS**2)
-                acc[k, d] = acc[k, d] + n if (k, d) in acc else n
-    for (k, d), n in acc.items():
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(np.full(len(at), d)), pa.array(at), pa.array(n[at])], names=["lang", "d", "code", "n"])
+def _count_pairs(langs: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            classes, unit, lang, _ = _batch_units(b, langs)
+            for d in (1, 2):
+                if len(unit) <= d:
+                    continue
+                code, u = pairs(classes, unit, d)
+                of = lang[u]
+                for k in np.unique(of).tolist():
+                    n = np.bincount(code[of == k], minlength=N_CLASS**2)
+                    acc[k, d] = acc[k, d] + n if (k, d) in acc else n
+        for (k, d), n in acc.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(np.full(len(at), d)), pa.array(at), pa.array(n[at])], names=["lang", "d", "code", "n"])
+
+    return run
+
+
+#: A unit's statistics; symbols are a share of all signs.
+_UNIT = {"common": "cast(u.common as double) / u.sizes", "score": "u.score", "length": "cast(u.letters as double) / u.sizes", "symbols": "cast(u.symbols as double) / (u.symbols + u.letters)"}
 
 
 class Quality:
-    """The statistics of one corpus; each pass is written once. documents: (doc_id, text); null ids, null texts and texts of blanks only are left out."""
+    """The statistics of one corpus; each pass is written once. documents: (doc_id, text, lang), lang may be missing; it only tells which words are learned together. Null ids, null texts and texts of blanks only are left out."""
 
     def __init__(self, documents: DataFrame):
         spark = documents.sparkSession
         scratch = Scratch(spark)
-        docs = documents.select("doc_id", "text").where(r"doc_id is not null and text is not null and text rlike '\\S'")
-        measured = scratch.save(docs.mapInArrow(_measure, _MEASURED))
-        rows = measured.select("lang", "sizes", "classes").mapInArrow(_count_pairs, "lang long, d long, code long, n long").groupBy("lang", "d", "code").agg(F.sum("n").alias("n"))
-        counts = np.zeros((len(LANGS) + 1, 2, N_CLASS**2))
+        docs = documents.where(r"doc_id is not null and text is not null and text rlike '\\S'")
+        common = learn_common(docs)
+        langs = common.langs
+        measured = scratch.save(docs.select("doc_id", "text").mapInArrow(_measure(spark.sparkContext.broadcast(common)), _MEASURED))
+        rows = measured.select("lang", "sizes", "classes").mapInArrow(_count_pairs(langs), "lang long, d long, code long, n long").groupBy("lang", "d", "code").agg(F.sum("n").alias("n"))
+        counts = np.zeros((len(langs) + 1, 2, N_CLASS**2), np.float32)
         for r in rows.toPandas().itertuples():  # at most languages x 2 x classes squared rows, whatever the corpus
             counts[r.lang, r.d - 1, r.code] = r.n
         tables = np.stack([[information(c.reshape(N_CLASS, N_CLASS)).ravel() for c in lang] for lang in counts])
@@ -266,7 +354,7 @@ class Quality:
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pmi = shared.value
             for b in batches:
-                classes, unit, lang, sizes = _batch_units(b)
+                classes, unit, lang, sizes = _batch_units(b, langs)
                 total = np.zeros(len(sizes))
                 for d in (1, 2):
                     if len(unit) > d:
@@ -284,21 +372,22 @@ class Quality:
         return self.scored.groupBy("lang").agg(*[F.kll_sketch_agg_double(F.col(c).cast("double")).alias(c) for c in STATS], F.count("*").alias("n_docs"))
 
     def unit_limits(self) -> DataFrame:
-        """(lang, common_limit, order_limit): what a unit must reach to be prose, from the sketches of all units of LEAST + 4 words or more that may be prose."""
-        u = self.scored.where("lang <> 'und'").select("lang", F.explode(F.arrays_zip("sizes", "may", "common", "score")).alias("u")).where(f"u.may = 1 and u.sizes >= {LEAST + 4}")
-        s = u.groupBy("lang").agg(F.kll_sketch_agg_double(F.expr("cast(u.common as double) / u.sizes")).alias("c"), F.kll_sketch_agg_double("u.score").alias("o"))
-
-        def limit(k, z, floor):
-            q = F.kll_sketch_get_quantile_double(k, F.array(F.lit(0.5), F.lit(0.75)))
-            return q[0] + z * F.greatest(F.lit(floor), (q[1] - q[0]) / 0.6745)
-
-        return s.select("lang", limit("c", Z_COMMON, FLOOR_COMMON).alias("common_limit"), limit("o", Z_ORDER, FLOOR_ORDER).alias("order_limit"))
+        """(lang, <statistic>_low, <statistic>_high): between what each of TAILS must lie in prose, from sketches of all units of LEAST + 4 words or more that may be prose."""
+        u = self.scored.where("lang <> 'und'").select("lang", F.explode(F.arrays_zip("sizes", "may", "common", "letters", "symbols", "score")).alias("u")).where(f"u.may = 1 and u.sizes >= {LEAST + 4}")
+        s = u.groupBy("lang").agg(*[F.kll_sketch_agg_double(F.expr(_UNIT[k])).alias(k) for k in TAILS])
+        out = [F.col("lang")]
+        for k, (low, high, floor) in TAILS.items():
+            q = F.kll_sketch_get_quantile_double(k, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+            spread = lambda a, b: F.greatest(F.lit(floor), (q[b] - q[a]) / 0.6745)  # noqa: B023, E731
+            out += [(q[1] + low * spread(1, 2) if low is not None else F.lit(None).cast("double")).alias(f"{k}_low"), (q[1] + high * spread(1, 2) if high is not None else F.lit(None).cast("double")).alias(f"{k}_high")]
+        return s.select(*out)
 
     def prose(self) -> DataFrame:
         """scored with prose_share: the share of a document's words that stand in units of running prose. The limits are a row per language and broadcast."""
         j = self.scored.join(F.broadcast(self.unit_limits().withColumnRenamed("lang", "l")), F.col("lang") == F.col("l"), "left")
-        fine = "u.may = 2 or (u.may = 1 and u.common >= common_limit * u.sizes and (u.score >= order_limit or u.sizes < 4))"
-        words = F.expr(f"aggregate(arrays_zip(sizes, may, common, score), 0, (a, u) -> a + if(coalesce({fine}, false), u.sizes, 0))")
+        inside = [f"coalesce({_UNIT[k]} >= {k}_low, l is not null)" for k, t in TAILS.items() if t[0] is not None and k != "score"] + [f"coalesce({_UNIT[k]} <= {k}_high, l is not null)" for k, t in TAILS.items() if t[1] is not None]
+        fine = f"u.may = 2 or (u.may = 1 and {' and '.join(inside)} and (u.score >= score_low or u.sizes < 4))"
+        words = F.expr(f"aggregate(arrays_zip(sizes, may, common, letters, symbols, score), 0, (a, u) -> a + if(coalesce({fine}, false), u.sizes, 0))")
         return j.withColumn("prose_share", F.when(F.col("n_words") > 0, words / F.col("n_words")).otherwise(F.lit(0.0))).select("doc_id", "lang", *STATS, "prose_share")
 
     def found(self) -> DataFrame:

@@ -435,9 +435,9 @@ def test_prose_and_the_rest(spark):
 
     terse = lambda: " ".join(f"{rnd.choice(nouns).capitalize()} {rnd.choice(verbs)} narrow {rnd.choice(nouns)} while {rnd.choice(nouns)} {rnd.choice(verbs)}." for _ in range(14))
     good = [text() for _ in range(300)] + [text().replace(".", "").replace(",", "").lower(), "> " + text().replace(". ", ".\n> "), text() + "\n- one item\n- two items\n" + text(), terse(), "\n".join(text()[i : i + 60] for i in range(0, 400, 60))]
-    bad = [shuffled() for _ in range(5)] + ["\n".join(f"- {rnd.choice(nouns)} for the {rnd.choice(nouns)}" for _ in range(20)), "\n".join(f"a{i},0x{i:04x},rw,{rnd.choice(nouns)}" for i in range(20)), "module m (input a); assign b = a; endmodule " * 5, " ".join(rnd.choice(nouns) for _ in range(80)), "+--+--+\n" * 4, "\n".join(f"{rnd.choice(nouns)}: in the {rnd.choice(nouns)}." for _ in range(20)), s() + "\n" + "\n".join(f"| r{i} | {i} | rw |" for i in range(30))]
-    rows = [(i, t, 0) for i, t in enumerate(good)] + [(1000 + i, t, 0) for i, t in enumerate(bad)] + [(2000, None, 0), (2001, "", 0), (2002, " \n ", 0), (None, "x", 0), (2003, text(4000), 0)]
-    q = text_quality.Quality(spark.createDataFrame(rows, "doc_id long, text string, lang int"))
+    bad = [shuffled() for _ in range(5)] + ["\n".join(f"- {rnd.choice(nouns)} for the {rnd.choice(nouns)}" for _ in range(20)), "\n".join(f"a{i},0x{i:04x},rw,{rnd.choice(nouns)}" for i in range(20)), "module m (input clk); assign b = clk; endmodule " * 5, " ".join(rnd.choice(nouns) for _ in range(80)), "+--+--+\n" * 4, "\n".join(f"{rnd.choice(nouns)}: in the {rnd.choice(nouns)}." for _ in range(20)), s() + "\n" + "\n".join(f"| r{i} | {i} | rw |" for i in range(30))]
+    rows = [(i, t, " EN " if i % 3 else "en") for i, t in enumerate(good)] + [(1000 + i, t, "en" if i % 2 else None) for i, t in enumerate(bad)] + [(2000, None, "en"), (2001, "", "en"), (2002, " \n ", None), (None, "x", "en"), (2003, text(4000), "und")]
+    q = text_quality.Quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert sorted(r["doc_id"] for r in q.found().collect()) == [1000 + i for i in range(len(bad))]
     t = {r["doc_id"]: r for r in q.table().collect()}
     assert len(t) == len(good) + len(bad) + 1 and t[0]["lang"] == "en" and 0 <= t[0]["n_words_pct"] <= 99 and "symbol_ratio+" in t[1006]["tails"] + t[1009]["tails"] + ["symbol_ratio+"]
@@ -445,6 +445,44 @@ def test_prose_and_the_rest(spark):
     assert text_quality.Quality(spark.createDataFrame([], "doc_id long, text string")).found().count() == 0
 
 
+def test_a_language_no_list_was_written_for(spark):
+    """Common words of Italian and Dutch are learned from the corpus; their prose is told from their words in no order and from lists."""
+    rnd = random.Random(8)
+    it = (["il segnale", "la coda", "il contatore", "la finestra", "il registro"], ["tiene", "legge", "perde", "ritarda"], "perché", "quando", "che")
+    nl = (["het signaal", "de wachtrij", "de teller", "het venster", "het register"], ["houdt", "leest", "verliest", "vertraagt"], "omdat", "wanneer", "dat")
+
+    def say(w, n=9):
+        noun, verb, *link = w
+        one = lambda: f"{rnd.choice(noun).capitalize()} {rnd.choice(verb)} {rnd.choice(noun)} {rnd.choice(link)} {rnd.choice(noun)} {rnd.choice(verb)} {rnd.choice(noun)} e non {rnd.choice(verb)}."
+        return " ".join(one() for _ in range(n))
+
+    def mixed(t):
+        w = t.lower().replace(".", "").split()
+        rnd.shuffle(w)
+        return " ".join(w)
+
+    good = [(say(w), c) for w, c in ((it, "it"), (nl, "nl")) for _ in range(120)]
+    bad = [(mixed(say(w)), c) for w, c in ((it, "it"), (nl, "nl")) for _ in range(6)] + [("\n".join(f"- {rnd.choice(it[0])}" for _ in range(20)), "it")]
+    rows = [(i, t, c) for i, (t, c) in enumerate(good)] + [(1000 + i, t, c) for i, (t, c) in enumerate(bad)]
+    q = text_quality.Quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r["doc_id"] for r in q.found().collect()) == [1000 + i for i in range(len(bad))]
+    t = {r["doc_id"]: r for r in q.table().collect()}
+    assert t[0]["lang"] == "it" and t[130]["lang"] == "nl" and min(t[k]["common_share"] for k in range(240)) > 0.3
+
+
+def test_frequent_items_keep_the_frequent(monkeypatch):
+    monkeypatch.setattr(text_quality, "HELD", 50)
+    rnd = random.Random(1)
+    s, true = text_quality.Summary(), Counter()
+    for _ in range(3000):
+        ws = {f"w{min(int(rnd.paretovariate(0.6)), 5000)}" for _ in range(8)}
+        true.update(ws)
+        s.add("x", ws, 0)
+    for w, n in true.items():
+        held = s.n.get(("x", w), [0, 0])[0]
+        assert held <= n and (held or n <= sum(true.values()) / 50)
+
+
 def test_sketches_merge(spark):
     df = spark.range(1, 4001).select(F.lit("en").alias("lang"), F.col("id").cast("double").alias("v"))
     halves = df.groupBy((F.col("v") % 2).alias("h")).agg(F.kll_sketch_agg_double("v").alias("k"))
@@ -454,5 +492,5 @@ def test_sketches_merge(spark):
 
 
 def test_statistics_of_one_text():
-    m = text_quality.measure("Ab cd_1 ef.\n\nno end\n")
+    m = text_quality.measure("Ab cd_1 ef.\n\nno end\n", text_quality.Common({"en": ["no"]}))
     assert m["n_words"] == 5 and m["end_share"] == 0.5 and m["word_length"] == pytest.approx((2 + 4 + 2 + 2 + 3) / 5) and m["symbol_ratio"] == pytest.approx(1 / 14)
