@@ -373,7 +373,7 @@ class Quality:
 
     def unit_limits(self) -> DataFrame:
         """(lang, <statistic>_low, <statistic>_high): between what each of TAILS must lie in prose, from sketches of all units of LEAST + 4 words or more that may be prose."""
-        u = self.scored.where("lang <> 'und'").select("lang", F.explode(F.arrays_zip("sizes", "may", "common", "letters", "symbols", "score")).alias("u")).where(f"u.may = 1 and u.sizes >= {LEAST + 4}")
+        u = self.scored.where("lang <> 'und'").select("lang", F.explode(F.arrays_zip("sizes", "may", "common", "letters", "symbols", "score")).alias("u")).where(f"u.may > 0 and u.sizes >= {LEAST + 4}")
         s = u.groupBy("lang").agg(*[F.kll_sketch_agg_double(F.expr(_UNIT[k])).alias(k) for k in TAILS])
         out = [F.col("lang")]
         for k, (low, high, floor) in TAILS.items():
