@@ -9,101 +9,175 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LEX = re.compile(r"\s*(\d*'[sS]?[bodhBODH][0-9a-fA-F_xXzZ?]+|'[01xXzZ]|\d[\d_]*|\$?[A-Za-z_][\w$]*|<<<|>>>|===|!==|<=|>=|==|!=|&&|\|\||<<|>>|[-+*/%&|^~!<>?:(){}\[\],.])")
-_PRECEDENCE = [["||"], ["&&"], ["|"], ["^"], ["&"], ["==", "!=", "===", "!=="], ["<", "<=", ">", ">="], ["<<", ">>", "<<<", ">>>"], ["+", "-"], ["*", "/", "%"]]
+from ..rtl import lex
+
+_PRECEDENCE = [["||"], ["&&"], ["|"], ["^", "~^", "^~"], ["&"], ["==", "!=", "===", "!==", "==?", "!=?"], ["<", "<=", ">", ">="], ["<<", ">>", "<<<", ">>>"], ["+", "-"], ["*", "/", "%"], ["**"]]
 _RADIX = {"b": 2, "o": 8, "d": 10, "h": 16}
+_UNARY = ("~", "!", "-", "+", "&", "|", "^", "~&", "~|", "~^", "^~", "++", "--")
 
 
 def literal(token: str) -> int | None:
-    """Value of a number; None for fill literals and digits x or z."""
+    """Value of a number; None for fill literals, digits x or z, and numbers with a fraction."""
+    token = token.replace("_", "").replace(" ", "")
     if "'" not in token:
-        return int(token.replace("_", ""))
-    m = re.fullmatch(r"\d*'[sS]?([bodhBODH])([0-9a-fA-F_]+)", token)
-    return int(m[2].replace("_", ""), _RADIX[m[1].lower()]) if m else None
+        return int(token) if token.isdigit() else None
+    m = re.fullmatch(r"\d*'[sS]?([bodhBODH])([0-9a-fA-F]+)", token)
+    try:
+        return int(m[2], _RADIX[m[1].lower()]) if m else None
+    except ValueError:
+        return None
+
+
+def has_xz(token: str) -> bool:
+    """Whether a based number has digits that are no value."""
+    return bool(re.fullmatch(r"\d*\s*'[sS]?[bodhBODH]?\s*[0-9a-fA-F_xXzZ?]*[xXzZ?][0-9a-fA-F_xXzZ?]*", token))
+
+
+def literal_width(token: str) -> int | None:
+    """Stated width of a sized number."""
+    m = re.match(r"(\d+)\s*'", token.replace("_", ""))
+    return int(m[1]) if m else None
 
 
 class Reader:
     """Recursive descent over a token list; nodes are tuples (operator, children...)."""
 
-    def __init__(self, text: str):
-        self.t = [m[1] for m in _LEX.finditer(text)]
+    def __init__(self, text: str | list[str]):
+        self.t = lex.tokens(text)[0] if isinstance(text, str) else text
         self.i = 0
 
-    def peek(self) -> str | None:
-        return self.t[self.i] if self.i < len(self.t) else None
+    def peek(self, ahead: int = 0) -> str | None:
+        return self.t[self.i + ahead] if self.i + ahead < len(self.t) else None
 
-    def take(self, want: str | None = None) -> str:
+    def take(self, *want: str) -> str:
         x = self.peek()
-        if x is None or want and x != want:
-            raise ValueError(f"expected {want}, found {x}")
+        if x is None or want and x not in want:
+            raise ValueError(f"expected {' or '.join(want) or 'a token'}, found {x}")
         self.i += 1
         return x
 
+    def have(self, *want: str) -> bool:
+        if self.peek() in want:
+            self.i += 1
+            return True
+        return False
+
     def ternary(self):
         c = self.binary(0)
-        if self.peek() == "?":
-            self.take()
+        if self.have("?"):
             a = self.ternary()
             self.take(":")
             return ("?", c, a, self.ternary())
         return c
 
     def binary(self, level: int):
-        if level == len(_PRECEDENCE):
+        """Operators by precedence climbing; all but the power bind to the left."""
+        if level >= len(_PRECEDENCE):
             return self.unary()
-        x = self.binary(level + 1)
-        while self.peek() in _PRECEDENCE[level]:
-            x = (self.take(), x, self.binary(level + 1))
-        return x
+        x = self.unary()
+        return self._climb(x, level)
+
+    def _climb(self, left, level: int):
+        while True:
+            op = self.peek()
+            at = _LEVEL.get(op, -1)
+            if at < level:
+                if op == "inside" and level <= 6:
+                    self.take()
+                    left = ("inside", left, *self.listed("{", "}"))
+                    continue
+                return left
+            self.take()
+            right = self.unary()
+            while _LEVEL.get(self.peek(), -1) > at:
+                right = self._climb(right, _LEVEL[self.peek()])
+            left = (op, left, right)
+
+    def listed(self, first: str, last: str) -> list:
+        self.take(first)
+        out = []
+        while not self.have(last):
+            if self.have("["):  # a range of values
+                a = self.ternary()
+                self.take(":")
+                out.append(("range", a, self.ternary()))
+                self.take("]")
+            else:
+                out.append(self.ternary())
+            if self.peek() != last:
+                self.take(",")
+        return out
 
     def unary(self):
-        if self.peek() in ("~", "!", "-", "+", "&", "|", "^"):
+        if self.peek() in _UNARY:
             return ("u" + self.take(), self.unary())
         return self.postfix()
 
+    def braces(self, close: str = "}"):
+        if self.have(close):
+            return ("{}",)
+        if self.peek() in ("<<", ">>"):  # streaming
+            self.take()
+            parts = self.listed("{", "}") if self.peek() == "{" else [self.ternary()] + self.listed("{", "}")
+            self.take(close)
+            return ("call", "$stream", *parts)
+        first = self.pattern_item()
+        if self.peek() == "{":
+            inner = self.listed("{", "}")
+            self.take(close)
+            return ("{n}", first, ("{}", *inner))
+        parts = [first]
+        while self.have(","):
+            parts.append(self.pattern_item())
+        self.take(close)
+        return ("{}", *parts)
+
+    def pattern_item(self):
+        x = ("ref", self.take()) if self.peek() == "default" else self.ternary()
+        return ("key", x, self.ternary()) if self.have(":") else x
+
     def postfix(self):
         x = self.take()
-        if x == "(":
+        if x in ("(", "'("):
             node = self.ternary()
             self.take(")")
-        elif x == "{":
-            parts = [self.ternary()]
-            while self.peek() in (",", "{"):
-                if self.take() == ",":
-                    parts.append(self.ternary())
-                else:
-                    parts.append(self.ternary())
-                    self.take("}")
-            self.take("}")
-            node = ("{}", *parts)
-        elif x[0].isdigit() or x[0] == "'":
+        elif x in ("{", "'{"):
+            node = self.braces()
+        elif x[0] == '"':
+            node = ("str", x)
+        elif x[0].isdigit() or x[0] == "'" and len(x) > 1:
             node = ("lit", x)
-        elif x[0].isalpha() or x[0] in "_$":
-            node = ("ref", x)
-            if self.peek() == "(":
+        elif x[0].isalpha() or x[0] in "_$\\`":
+            while self.peek() == "::":
                 self.take()
-                args = []
-                while self.peek() != ")":
-                    args.append(self.ternary())
-                    if self.peek() == ",":
-                        self.take()
-                self.take(")")
-                node = ("call", x, *args)
+                x += "::" + self.take()
+            node = ("ref", x)
+            if self.peek() == "(" and (x[0] == "$" or self.calls):
+                node = ("call", x, *self.listed("(", ")"))
         else:
             raise ValueError(f"unexpected {x}")
-        while self.peek() in ("[", "."):
-            if self.take() == ".":
+        while self.peek() in ("[", ".", "'("):
+            op = self.take()
+            if op == ".":
                 node = (".", node, ("ref", self.take()))
+            elif op == "'(":
+                node = ("cast", node, self.ternary())
+                self.take(")")
             else:
                 a = self.ternary()
-                if self.peek() == ":":
-                    self.take()
-                    node = ("[:]", node, a, self.ternary())
+                if self.peek() in (":", "+:", "-:"):
+                    node = ("[" + self.take() + "]", node, a, self.ternary())
                 else:
                     node = ("[]", node, a)
                 self.take("]")
         return node
 
+    #: Whether a name before a parenthesis is a call.
+    calls = True
+
+
+_LEVEL = {op: k for k, ops in enumerate(_PRECEDENCE) for op in ops}
+
 
 def read(text: str):
     r = Reader(text)
@@ -126,7 +200,14 @@ def depth(node) -> int:
 
 
 def refs(node) -> list[str]:
-    return [node[1]] if node[0] == "ref" else [r for c in kids(node) for r in refs(c)]
+    """Names an expression reads; field names and keys of patterns aren't read."""
+    if node[0] == "ref":
+        return [node[1]]
+    if node[0] == ".":
+        return refs(node[1])
+    if node[0] in ("key", "cast"):
+        return refs(node[2])
+    return [r for c in kids(node) for r in refs(c)]
 
 
 def fold(node, names: dict[str, int] | None = None) -> int | None:
@@ -136,10 +217,12 @@ def fold(node, names: dict[str, int] | None = None) -> int | None:
         return literal(node[1])
     if op == "ref":
         return (names or {}).get(node[1])
+    if op == "cast":
+        return fold(node[2], names)
     if op == "call":
-        v = fold(node[2], names) if node[1] == "$clog2" and len(node) == 3 else None
-        return None if v is None or v < 0 else max(v - 1, 0).bit_length()
-    if op in ("{}", "[]", "[:]", "."):
+        v = fold(node[2], names) if node[1] in ("$clog2", "$signed", "$unsigned") and len(node) == 3 else None
+        return None if v is None else v if node[1] != "$clog2" else None if v < 0 else max(v - 1, 0).bit_length()
+    if op in ("{}", "{n}", "[]", "[:]", "[+:]", "[-:]", ".", "str", "inside", "key", "range"):
         return None
     v = [fold(c, names) for c in kids(node)]
     if op == "?":
@@ -147,47 +230,85 @@ def fold(node, names: dict[str, int] | None = None) -> int | None:
     if None in v:
         return None
     if op[0] == "u" and len(op) > 1:
-        return {"~": lambda x: ~x, "!": lambda x: int(not x), "-": lambda x: -x, "+": lambda x: x}.get(op[1:], lambda x: None)(v[0])
+        return {"~": lambda x: ~x, "!": lambda x: int(not x), "-": lambda x: -x, "+": lambda x: x, "|": lambda x: int(x != 0), "~|": lambda x: int(x == 0), "^": lambda x: x.bit_count() & 1 if x >= 0 else None}.get(op[1:], lambda x: None)(v[0])
     a, b = v
-    if op in ("/", "%") and not b or op in ("<<", ">>", "<<<", ">>>") and not 0 <= b < 256:
+    if op in ("/", "%") and not b or op in ("<<", ">>", "<<<", ">>>") and not 0 <= b < 256 or op == "**" and not 0 <= b < 64:
         return None
     return {
-        "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: a // b, "%": lambda: a % b, "<<": lambda: a << b, ">>": lambda: a >> b, "<<<": lambda: a << b, ">>>": lambda: a >> b,
-        "&": lambda: a & b, "|": lambda: a | b, "^": lambda: a ^ b, "&&": lambda: int(bool(a and b)), "||": lambda: int(bool(a or b)), "==": lambda: int(a == b), "!=": lambda: int(a != b),
-        "===": lambda: int(a == b), "!==": lambda: int(a != b), "<": lambda: int(a < b), "<=": lambda: int(a <= b), ">": lambda: int(a > b), ">=": lambda: int(a >= b),
+        "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: a // b, "%": lambda: a % b, "**": lambda: a**b, "<<": lambda: a << b, ">>": lambda: a >> b, "<<<": lambda: a << b, ">>>": lambda: a >> b,
+        "&": lambda: a & b, "|": lambda: a | b, "^": lambda: a ^ b, "~^": lambda: ~(a ^ b), "^~": lambda: ~(a ^ b), "&&": lambda: int(bool(a and b)), "||": lambda: int(bool(a or b)), "==": lambda: int(a == b), "!=": lambda: int(a != b),
+        "===": lambda: int(a == b), "!==": lambda: int(a != b), "==?": lambda: int(a == b), "!=?": lambda: int(a != b), "<": lambda: int(a < b), "<=": lambda: int(a <= b), ">": lambda: int(a > b), ">=": lambda: int(a >= b),
     }[op]()
 
 
-_WORDS = {"==": "equals", "!=": "differs from", "<": "is below", "<=": "is at most", ">": "is above", ">=": "is at least", "===": "equals", "!==": "differs from"}
+# Comparisons in words, and the word of the opposite (fixed values).
+COMPARISON = {"==": "is", "===": "is", "!=": "is not", "!==": "is not", "<": "is less than", "<=": "is at most", ">": "is greater than", ">=": "is at least"}
+OPPOSITE = {"is": "is not", "is not": "is", "is less than": "is at least", "is at most": "is greater than", "is greater than": "is at most", "is at least": "is less than"}
 
 
 def wording(node, negated: bool = False) -> str:
-    """A condition in words; negation is pushed inwards."""
+    """A condition in words; negation is pushed inwards. What has no words is a condition on its signals."""
     op = node[0]
     if op in ("&&", "||"):
         return f" {'or' if (op == '&&') == negated else 'and'} ".join(wording(c, negated) for c in kids(node))
     if op in ("u!", "u~"):
         return wording(node[1], not negated)
-    if op in _WORDS:
+    if op in COMPARISON:
         a, b = (operand(c) for c in kids(node))
-        flip = {"==": "!=", "!=": "==", "<": ">=", ">=": "<", ">": "<=", "<=": ">", "===": "!==", "!==": "==="}
-        return f"{a} {_WORDS[flip[op] if negated else op]} {b}"
-    return f"{operand(node)} is {0 if negated else 1}"
+        if a and b:
+            return f"{a} {OPPOSITE[COMPARISON[op]] if negated else COMPARISON[op]} {b}"
+    x = operand(node) if op in ("ref", "lit", "[]", "[:]", ".") else None
+    if x:
+        return f"{x} is {0 if negated else 1}"
+    names = sorted(set(refs(node)))
+    return f"{'not ' if negated else ''}a condition on {', '.join(names)}" if names else "an unknown condition"
 
 
-def operand(node) -> str:
+def operand(node) -> str | None:
+    """A value in words: a number, a name, or an element, bits or a field of a name; None for anything else."""
     if node[0] == "lit":
         v = literal(node[1])
         return node[1] if v is None else str(v)
     if node[0] == "ref":
         return node[1]
-    if node[0] == "[]":
+    if node[0] == "[]" and operand(node[1]) and operand(node[2]):
         return f"element {operand(node[2])} of {operand(node[1])}"
-    if node[0] == "[:]":
+    if node[0] == "[:]" and operand(node[1]) and operand(node[2]) and operand(node[3]):
         return f"bits {operand(node[2])} to {operand(node[3])} of {operand(node[1])}"
-    if node[0] == ".":
+    if node[0] == "." and operand(node[1]):
         return f"field {node[2][1]} of {operand(node[1])}"
-    return "an expression"
+    return None
+
+
+def show(node) -> str:
+    """An expression as text again, with one way of writing it."""
+    op = node[0]
+    if op in ("lit", "ref", "str"):
+        return node[1]
+    k = [show(c) for c in kids(node)]
+    if op == "?":
+        return f"({k[0]} ? {k[1]} : {k[2]})"
+    if op == "{}":
+        return "{" + ", ".join(k) + "}"
+    if op == "{n}":
+        return "{" + k[0] + k[1] + "}"
+    if op == "call":
+        return f"{node[1]}({', '.join(k)})"
+    if op == "cast":
+        return f"{k[0]}'({k[1]})"
+    if op == "[]":
+        return f"{k[0]}[{k[1]}]"
+    if op in ("[:]", "[+:]", "[-:]"):
+        return f"{k[0]}[{k[1]}{op[1:-1]}{k[2]}]"
+    if op == ".":
+        return f"{k[0]}.{k[1]}"
+    if op == "inside":
+        return f"({k[0]} inside {{{', '.join(k[1:])}}})"
+    if op in ("key", "range"):
+        return f"{k[0]}:{k[1]}"
+    if op[0] == "u" and len(k) == 1:
+        return op[1:] + k[0]
+    return f"({k[0]} {op} {k[1]})"
 
 
 @F.pandas_udf(T.StructType([T.StructField("nodes", T.IntegerType()), T.StructField("depth", T.IntegerType()), T.StructField("value", T.StringType()), T.StructField("wording", T.StringType())]))
@@ -203,3 +324,23 @@ def expression_facts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             except (ValueError, AttributeError, TypeError, RecursionError):
                 rows.append((None, None, None, None))
         yield pd.DataFrame(rows, columns=["nodes", "depth", "value", "wording"]).astype({"nodes": "Int32", "depth": "Int32"})
+
+
+def nodes(node) -> Iterator:
+    """A tree's nodes, the root first."""
+    yield node
+    for c in kids(node):
+        yield from nodes(c)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def node_kinds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The operators of an expression's nodes, the root first; null where it can't be read."""
+    for texts in batches:
+        out = []
+        for t in texts:
+            try:
+                out.append([n[0] for n in nodes(read(t))])
+            except (ValueError, TypeError, RecursionError):
+                out.append(None)
+        yield pd.Series(out, dtype="object")

@@ -1,6 +1,6 @@
 """All core queries with their SQL."""
 
-from . import corpus, design, general
+from . import corpus, design, general, hardware
 
-QUERIES = {**corpus.QUERIES, **design.QUERIES, **general.QUERIES}
-SQL = {**corpus.SQL, **design.SQL, **general.SQL}
+QUERIES = {**corpus.QUERIES, **design.QUERIES, **general.QUERIES, **hardware.QUERIES}
+SQL = {**corpus.SQL, **design.SQL, **general.SQL, **hardware.SQL}

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import expr
 from ..operators import behavior, fsm, governance, graph, hierarchy, records, references, stats
-from ..sources import rtl
-from ..sources.tables import Scratch, clean, table
+from ..sources.tables import clean, table
 from ..streaming import jobs
 
 
@@ -215,40 +213,6 @@ def largest_parts(s, d):
     return table(s, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n_lines"), F.countDistinct("l_suppkey").alias("n_suppliers")).orderBy(F.desc("n_lines"), "l_partkey").limit(20)
 
 
-def _rtl_rows(s, d, *kinds):
-    t = F.when(F.col("input.kind") == "rtl", F.col("input.text")).otherwise(F.col("target.text"))
-    return rtl.read_rtl(table(s, d, "dataset_records").select("record_id", t.alias("text")).where("text is not null").distinct()).where(F.col("section").isin(*kinds))
-
-
-def rtl_sections(s, d):
-    return _rtl_rows(s, d, "module", "port", "parameter", "net", "assign", "register", "instance", "pin", "transition").groupBy("section").agg(F.count("*").alias("n_rows"), F.countDistinct("record_id").alias("n_records"))
-
-
-def rtl_interfaces(s, d):
-    return _rtl_rows(s, d, "port").groupBy("record_id", "module").agg(F.count_if(F.col("kind") == "input").alias("n_inputs"), F.count_if(F.col("kind") == "output").alias("n_outputs"))
-
-
-def rtl_registers(s, d):
-    return _rtl_rows(s, d, "register").select("record_id", "module", "name", "clock", "edge", "reset", "kind").distinct()
-
-
-def rtl_transitions(s, d):
-    return _rtl_rows(s, d, "transition").select("record_id", "module", F.col("name").alias("register"), F.col("kind").alias("from_state"), F.col("target").alias("to_state")).distinct()
-
-
-def rtl_undriven_outputs(s, d):
-    """Outputs that no assignment, register or instance pin of the text drives."""
-    r = Scratch(s).save(_rtl_rows(s, d, "port", "assign", "register", "pin"))
-    out = r.where("section = 'port' and kind = 'output'").select("record_id", "module", "name").distinct()
-    by = r.where("section in ('assign', 'register')").select("record_id", "module", "name").union(r.where("section = 'pin'").select("record_id", "module", "value"))
-    return out.join(by.distinct(), ["record_id", "module", "name"], "left_anti")
-
-
-def rtl_expressions(s, d):
-    x = _rtl_rows(s, d, "assign").select("record_id", "module", "name", "value").distinct().withColumn("e", expr.expression_facts("value"))
-    return x.select("record_id", "module", "name", F.col("e.nodes").alias("nodes"), F.col("e.depth").alias("depth"), F.col("e.value").alias("constant"), F.col("e.wording").alias("wording"))
-
-
 def clock_domains(s, d):
     return behavior.clock_domains(_wrap(s, d))
 
@@ -278,7 +242,7 @@ def stream_once(s, d):
     return jobs.drain(jobs.once(jobs.events(s, d)))
 
 
-QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, rtl_sections, rtl_interfaces, rtl_registers, rtl_transitions, rtl_undriven_outputs, rtl_expressions, clock_domains, register_holds, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
+QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, clock_domains, register_holds, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _INS = f"ins AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS parent, unnest(instances) AS i FROM structural_wrap), e AS (SELECT DISTINCT ip, parent, trim(i.module, {_B}) AS child, trim(i.name, {_B}) AS instance FROM ins WHERE i IS NOT NULL AND trim(i.module, {_B}) <> '')"
