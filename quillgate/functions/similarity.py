@@ -22,7 +22,7 @@ def length_bound(a: Column, b: Column) -> Column:
 
 
 def similarity_class(r: Column) -> Column:
-    return F.when(r >= NEAR, "near_duplicate").when(r >= STRUCTURAL, "structural").otherwise("informational")
+    return F.when(r >= NEAR, "near_duplicate").when(r >= STRUCTURAL, "structural_similarity").otherwise("informational")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -34,7 +34,7 @@ def seq_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
 
 @F.pandas_udf(T.IntegerType())
 def longest_run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Longest matching block of two token arrays that holds at least one token outside the canonical vocabulary."""
+    """Longest matching block of two token arrays that holds at least one token outside the canonical vocabulary. Separators are to be left out before."""
     for p, c, canon in batches:
         out = []
         for x, y, names in zip(p, c, canon):

@@ -10,24 +10,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Reserved words of the hardware language (fixed values).
-KEYWORDS = (
-    "always always_comb always_ff always_latch and assign begin bit case casex casez default disable edge else end endcase endfunction endgenerate endmodule "
-    "endpackage endtask enum for forever function generate genvar if import initial inout input integer localparam logic longint module negedge nor not or output "
-    "package parameter posedge real reg repeat return signed struct task time typedef union unique unsigned wait while wire xor"
-).split()
-#: sv-lex-v1: literals, numbers, identifiers, operators of several characters, any other character (fixed value).
-TOKEN = r"\d*'[sS]?[bodhBODH][0-9a-fA-F_xXzZ?]+|'[01xXzZ]|\d[\d_]*|[A-Za-z_$][A-Za-z0-9_$]*|<<<|>>>|===|!==|<=|>=|==|!=|&&|\|\||<<|>>|::|->|\S"
-#: Wordings that mark a statement as uncertain (fixed values).
-MARKERS = ("unknown", "an unresolved signal", "not analyzed", "may ", "possibly", "ambiguous", "unsupported", "candidate")
+# Reserved words of the token metric (fixed values).
+KEYWORDS = """module endmodule input output inout wire reg logic integer parameter localparam assign always
+always_ff always_comb always_latch begin end if else case casez casex endcase default posedge negedge or and not
+for generate endgenerate genvar function endfunction task endtask initial typedef enum struct packed signed unsigned
+bit byte int while repeat forever unique priority return import package endpackage interface endinterface
+modport""".split()
+# Reserved words of body shapes (fixed values).
+SHAPE_KEYWORDS = """module endmodule input output inout wire reg logic bit byte int integer
+parameter localparam assign always always_ff always_comb always_latch
+posedge negedge or and not if else case casez casex endcase default begin
+end for while generate endgenerate genvar function endfunction task endtask
+typedef enum struct packed signed unsigned initial""".split()
+#: sv-lex-v1 (fixed value): sized and unbased literals, numbers, identifiers, operators of several characters, any other character.
+TOKEN = r"\d+'[sS]?[bBoOdDhH][0-9a-fA-FxXzZ_?]+|'[01xXzZ]|\d+(?:\.\d+)?|[A-Za-z_$][A-Za-z0-9_$]*|<<<|>>>|===|!==|<=|>=|==|!=|&&|\|\||<<|>>|->|\S"
+#: Tokens of body shapes (fixed value).
+SHAPE_TOKEN = r"[A-Za-z_][A-Za-z0-9_$]*|\d[\d_']*[bBoOdDhH]?[0-9a-fA-FxXzZ_]*|\S"
+#: Tokens that no run counts (fixed values).
+SEPARATORS = (",", ";")
+# Wordings that mark a statement as uncertain, and the kind of uncertainty of each (fixed values).
+MARKERS = {
+    "[derived]": "derived",
+    "[unknown]": "unknown",
+    "(candidate)": "candidate",
+    "(unresolved)": "unresolved",
+    "an unknown state": "unknown",
+    "unknown width": "unknown",
+    "an unresolved value": "unresolved",
+    "status candidate": "candidate",
+    "status ambiguous": "ambiguous",
+    "status unsupported": "unsupported",
+    "States: unresolved": "unresolved",
+    "a condition on": "unknown",
+    "priority unknown": "unknown",
+    "an unrendered value": "unknown",
+    "an unknown condition": "unknown",
+    "an unresolved signal": "unresolved",
+}
+#: Limits of the token metric (fixed values): shared share of 4-grams, longest shared run.
+OVERLAP_MAX, RUN_MAX = 0.20, 6
 ID_LEAK = r"(sem1|beh1|str1|fsm1|n1|grp1|pv2):[0-9a-f]{16}"
-ABSOLUTE = r"(^|[\s\"'=(:,])/(home|tmp|mnt|Users|workspace)/"
+ABSOLUTE = r"(^|[\s\"'=:(\[,])/(home|tmp|mnt|Users|workspace)/"
+#: Syntax of the hardware language that no prompt may hold (fixed values).
+HDL_SYNTAX = r"(<=|==|!=|&&|\|\||\?|\b(always|always_ff|always_comb|always_latch|assign|begin|endmodule|endcase|posedge|negedge)\b)"
+HDL_SELECT = r"[A-Za-z0-9_$\]]\["
+PARSER_NOISE = r"\b(node_id|syntax_type|BufferID|SyntaxKind|SyntaxNode)\b|\b(offset|buffer)\s*[:=]\s*\d"
+PROMPT_PATH = r"(^|[\s\"'=:(,])(/(home|tmp|mnt|Users|workspace|root|var)/|[A-Za-z]:\\)"
 
 
 def normalize(t: Column) -> Column:
-    """Line ends as \\n, no blanks before them, no blank lines around."""
-    t = F.regexp_replace(F.regexp_replace(t, "\r\n?", "\n"), "[ \t]+\n", "\n")
-    return F.regexp_replace(F.regexp_replace(t, "[ \t]+\\z", ""), "\\A\n+|\n+\\z", "")
+    """Line ends as \\n, no blanks (of any kind) before them, no blank lines around."""
+    blank = r"[\t\x0b\x0c\x1c-\x1f\x85\p{Z}]+"
+    t = F.regexp_replace(F.regexp_replace(t, "\r\n?", "\n"), f"{blank}\n", "\n")
+    return F.regexp_replace(F.regexp_replace(t, rf"{blank}\z", ""), r"\A\n+|\n+\z", "")
 
 
 def strip_comments(t: Column) -> Column:
@@ -57,8 +92,23 @@ def is_identifier(x: Column) -> Column:
 
 
 def body_shape(t: Column) -> Column:
-    """Tokens with identifiers as ID and numbers as N, joined by blanks."""
-    return F.array_join(F.transform(tokens(t), lambda x: F.when(is_identifier(x), "ID").when(x.rlike(r"^[0-9']"), "N").otherwise(x)), " ")
+    """Names that aren't reserved as ID, numbers as N, everything else as it stands, joined by blanks; comments don't count."""
+    toks = F.regexp_extract_all(strip_comments(t), F.lit(f"({SHAPE_TOKEN})"), F.lit(1))
+    return F.array_join(F.transform(toks, lambda x: F.when(x.rlike(r"^[A-Za-z_]") & ~x.isin(*SHAPE_KEYWORDS), "ID").when(x.rlike(r"^[0-9]"), "N").otherwise(x)), " ")
+
+
+def normalized(toks: Column, canon: Column) -> Column:
+    """Tokens without reserved words and punctuation; names of the canonical vocabulary as ID."""
+    return F.transform(F.filter(toks, lambda x: ~x.isin(*KEYWORDS) & x.rlike(r"^[A-Za-z0-9_$']")), lambda x: F.when(F.array_contains(canon, x), "ID").otherwise(x))
+
+
+def telling(grams: Column, n: int = 4) -> Column:
+    """The n-grams that aren't ID throughout."""
+    return F.filter(grams, lambda g: g != "\x1f".join(["ID"] * n))
+
+
+def unseparated(toks: Column) -> Column:
+    return F.filter(toks, lambda x: ~x.isin(*SEPARATORS))
 
 
 @F.pandas_udf(T.StringType())

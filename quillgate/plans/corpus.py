@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ident, similarity, text
 from ..operators import splits, stats
+from ..sources import rtl
 from ..sources.tables import Scratch, clean, table
 
 
@@ -88,20 +89,51 @@ def alpha_renamed(s, d):
 
 
 def _prompts(s, d):
-    r = _records(s, d).where("input.kind = 'prompt_v2' and target.kind = 'rtl'").select("record_id", F.col("input.text").alias("p"), F.col("target.text").alias("c")).where("p is not null and c is not null").distinct()
-    return r.select("record_id", text.tokens(F.col("p")).alias("pt"), text.tokens(F.col("c")).alias("ct"))
+    """(record_id, p, c): prompts with the hardware text that answers them."""
+    r = _records(s, d).where("input.kind = 'prompt_v2' and target.kind = 'rtl'").select("record_id", F.col("input.text").alias("p"), F.col("target.text").alias("c"))
+    return r.where("p is not null and c is not null").distinct()
+
+
+def _vocabulary(prompts):
+    """(record_id, canon): names of a text's modules, ports, signals, parameters, instances and pins."""
+    x = rtl.read_rtl(prompts.select("record_id", F.col("c").alias("text")), "module", "port", "net", "parameter", "instance", "pin")
+    names = x.select("record_id", F.explode(F.array(F.when(F.col("section") != "pin", F.col("name")), F.when(F.col("section") == "instance", F.col("target")), F.when((F.col("section") == "pin") & ~F.col("name").rlike(r"^\d+$"), F.col("name")))).alias("name"))
+    return names.where("name is not null").groupBy("record_id").agg(F.collect_set("name").alias("canon"))
+
+
+def _measured(s, d):
+    p = Scratch(s).save(_prompts(s, d))
+    x = p.join(_vocabulary(p), "record_id", "left").select("record_id", text.tokens(F.col("p")).alias("pt"), text.tokens(F.col("c")).alias("ct"), F.coalesce("canon", F.array().cast("array<string>")).alias("canon"))
+    return Scratch(s).save(x)
 
 
 def prompt_overlap(s, d):
-    """Share of a prompt's 4-grams that its completion has too."""
-    x = Scratch(s).save(_prompts(s, d))
-    x = x.select("record_id", F.size("pt").alias("prompt_tokens"), F.size("ct").alias("completion_tokens"), text.ngrams(F.col("pt"), 4).alias("pg"), text.ngrams(F.col("ct"), 4).alias("cg"))
-    return x.select("record_id", "prompt_tokens", "completion_tokens", F.size("pg").alias("prompt_ngrams"), F.size(F.array_intersect("pg", "cg")).alias("shared_ngrams"), text.overlap(F.col("pg"), F.col("cg")).alias("overlap"), F.when(text.overlap(F.col("pg"), F.col("cg")) <= 0.20, "PASS").otherwise("FAIL").alias("status"))
+    """Share of a prompt's telling 4-grams that its completion has too, after reserved words are dropped and the module's own names are made one."""
+    x = _measured(s, d)
+    x = x.select("record_id", F.size("pt").alias("prompt_tokens"), F.size("ct").alias("completion_tokens"), text.telling(text.ngrams(text.normalized(F.col("pt"), F.col("canon")), 4)).alias("pg"), text.ngrams(text.normalized(F.col("ct"), F.col("canon")), 4).alias("cg"))
+    return x.select("record_id", "prompt_tokens", "completion_tokens", F.size("pg").alias("prompt_ngrams"), F.size(F.array_intersect("pg", "cg")).alias("shared_ngrams"), text.overlap(F.col("pg"), F.col("cg")).alias("overlap"))
+
+
+def prompt_raw_overlap(s, d):
+    x = Scratch(s).save(_prompts(s, d).select("record_id", text.ngrams(text.tokens(F.col("p")), 4).alias("pg"), text.ngrams(text.tokens(F.col("c")), 4).alias("cg")))
+    return x.select("record_id", F.size("pg").alias("prompt_ngrams"), F.size(F.array_intersect("pg", "cg")).alias("shared_ngrams"), text.overlap(F.col("pg"), F.col("cg")).alias("raw_overlap"))
 
 
 def prompt_longest_run(s, d):
-    x = _prompts(s, d)
-    return x.select("record_id", similarity.longest_run("pt", "ct", F.array_distinct(F.filter("ct", text.is_identifier))).alias("longest_run"))
+    """Longest run of tokens, separators left out, that a prompt shares with its completion and that holds a token outside the module's own names."""
+    return _measured(s, d).select("record_id", similarity.longest_run(text.unseparated(F.col("pt")), text.unseparated(F.col("ct")), "canon").alias("longest_run"))
+
+
+def prompt_status(s, d):
+    """PASS where overlap and longest run keep their limits."""
+    j = prompt_overlap(s, d).select("record_id", "overlap").join(prompt_longest_run(s, d), "record_id")
+    return j.withColumn("status", F.when((F.col("overlap") <= text.OVERLAP_MAX) & (F.col("longest_run") <= text.RUN_MAX), "PASS").otherwise("FAIL"))
+
+
+def prompt_noise(s, d):
+    """Prompts that hold hardware syntax, selects, parser terms or paths."""
+    p = _prompts(s, d)
+    return p.select("record_id", F.col("p").rlike(text.HDL_SYNTAX).alias("syntax"), F.col("p").rlike(text.HDL_SELECT).alias("selects"), F.col("p").rlike(text.PARSER_NOISE).alias("parser_terms"), F.col("p").rlike("(?m)" + text.PROMPT_PATH).alias("paths"))
 
 
 def _near(s, d):
@@ -131,18 +163,23 @@ def similarity_classes(s, d):
 
 
 def marker_counts(s, d):
+    """How often each wording of uncertainty stands in the documents, without overlaps."""
     x = _docs(s, d)
-    return x.select("doc_id", *[text.occurrences(F.lower("text"), m).alias("m_" + m.strip().replace(" ", "_")) for m in text.MARKERS])
+    hits = F.array(*[F.struct(F.lit(m).alias("marker"), F.lit(k).alias("kind"), text.occurrences(F.col("text"), m).alias("n")) for m, k in text.MARKERS.items()])
+    x = x.select("doc_id", F.explode(hits).alias("m")).groupBy("m.kind", "m.marker").agg(F.sum("m.n").alias("n"), F.count_if(F.col("m.n") > 0).alias("n_docs"))
+    return x.select("kind", "marker", "n", "n_docs")
 
 
 def absolute_paths(s, d):
-    x = _docs(s, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "l"))
-    return x.where(F.col("l").rlike(text.ABSOLUTE)).select("doc_id", "line")
+    """Lines of the documents per source, and those that hold an absolute path."""
+    x = _docs(s, d).select("source", F.explode(F.split("text", "\n", -1)).alias("l"))
+    return x.groupBy("source").agg(F.count("*").alias("n_lines"), F.count_if(F.col("l").rlike(text.ABSOLUTE)).alias("n_paths"))
 
 
 def id_leaks(s, d):
-    x = _records(s, d).select("record_id", F.col("input.text").alias("t")).union(_records(s, d).select("record_id", "target.text")).where("t is not null")
-    return x.where(F.col("t").rlike(text.ID_LEAK)).select("record_id").distinct()
+    """Texts of the records by field, and those that hold an id of a document layer."""
+    x = _records(s, d).select("record_id", F.lit("input").alias("field"), F.col("input.text").alias("t")).union(_records(s, d).select("record_id", F.lit("target"), "target.text")).where("t is not null").distinct()
+    return x.groupBy("field").agg(F.count("*").alias("n_texts"), F.count_if(F.col("t").rlike(text.ID_LEAK)).alias("n_leaks"))
 
 
 def budget_lines(s, d):
@@ -178,9 +215,9 @@ def split_crossing(s, d):
 
 
 def split_inheritance(s, d):
-    """Modules whose records stand in more than one split."""
+    """Modules by the number of splits their records stand in; one is as it should be."""
     r = _records(s, d).select(clean(F.col("module.ip")).alias("ip"), clean(F.col("module.name")).alias("module"), "split").distinct()
-    return r.groupBy("ip", "module").agg(F.count("*").alias("n_splits")).where("n_splits > 1")
+    return r.groupBy("ip", "module").agg(F.count("*").alias("n_splits")).groupBy("n_splits").agg(F.count("*").alias("n_modules"))
 
 
 def task_breakdown(s, d):
@@ -203,15 +240,21 @@ def change_classes(s, d):
     return j.groupBy(F.when(F.col("old_h").isNull(), "new").when(F.col("old_h") != F.col("h"), "modified").otherwise("unchanged").alias("change")).agg(F.count("*").alias("n_records"))
 
 
-QUERIES = {f.__name__: f for f in (exact_dup_groups, collapsed_dup_groups, body_shape_groups, cross_ip_shapes, record_ids, canonical_records, dataset_identity, text_stats, quantiles_cut, quantiles_rounded, token_counts, module_bodies, alpha_renamed, prompt_overlap, prompt_longest_run, near_duplicate_edges, near_duplicate_classes, near_duplicate_class_pairs, similarity_classes, marker_counts, absolute_paths, id_leaks, budget_lines, identity_groups, group_sizes, greedy_split, split_summary, split_crossing, split_inheritance, task_breakdown, task_coverage, change_classes)}
+QUERIES = {f.__name__: f for f in (exact_dup_groups, collapsed_dup_groups, body_shape_groups, cross_ip_shapes, record_ids, canonical_records, dataset_identity, text_stats, quantiles_cut, quantiles_rounded, token_counts, module_bodies, alpha_renamed, prompt_overlap, prompt_raw_overlap, prompt_longest_run, prompt_status, prompt_noise, near_duplicate_edges, near_duplicate_classes, near_duplicate_class_pairs, similarity_classes, marker_counts, absolute_paths, id_leaks, budget_lines, identity_groups, group_sizes, greedy_split, split_summary, split_crossing, split_inheritance, task_breakdown, task_coverage, change_classes)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _NL = "chr(10)"
 _NORM = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n?', {_NL}, 'g'), '[ \\t]+\\n', {_NL}, 'g'), '[ \\t]+\\z', ''), '\\A\\n+|\\n+\\z', '', 'g')"
 _RTL = "rtl AS (SELECT DISTINCT record_id, module.ip AS ip, module.name AS module, task.id AS task, CASE WHEN input.kind = 'rtl' THEN input.text ELSE target.text END AS text FROM dataset_records)"
 _BARE = "regexp_replace(regexp_replace({0}, '(?s)/\\*.*?\\*/', ' ', 'g'), '//[^\\n]*', ' ', 'g')"
-_TOKENS = "regexp_extract_all(" + _BARE + ", '(" + text.TOKEN.replace("'", "''") + ")', 1)"
-_KW = "[" + ", ".join(f"'{k}'" for k in text.KEYWORDS) + "]"
+# What the SQL expects is written here once more, so that a wrong constant of the code shows.
+_TOKENS = "regexp_extract_all(" + _BARE + r""", '([0-9]+''[sS]?[bodhBODH][0-9a-fA-FxXzZ_?]+|''[01xXzZ]|[0-9]+(?:\.[0-9]+)?|[a-zA-Z_$][a-zA-Z0-9_$]*|<<<|>>>|===|!==|<=|>=|==|!=|&&|\|\||<<|>>|->|[^ \t\n\r\f\v])', 1)"""
+_SHAPES = "regexp_extract_all(" + _BARE + r""", '([a-zA-Z_][a-zA-Z0-9_$]*|[0-9][0-9_'']*[bodhBODH]?[0-9a-fA-FxXzZ_]*|[^ \t\n\r\f\v])', 1)"""
+_KW = "string_split('always always_comb always_ff always_latch and assign begin bit byte case casex casez default else end endcase endfunction endgenerate endinterface endmodule endpackage endtask enum for forever function generate genvar if import initial inout input int integer interface localparam logic modport module negedge not or output package packed parameter posedge priority reg repeat return signed struct task typedef unique unsigned while wire', ' ')"
+_SHAPE_KW = "string_split('always always_comb always_ff always_latch and assign begin bit byte case casex casez default else end endcase endfunction endgenerate endmodule endtask enum for function generate genvar if initial inout input int integer localparam logic module negedge not or output packed parameter posedge reg signed struct task typedef unsigned while wire', ' ')"
+_MARKS = "(VALUES ('derived','[derived]'),('unknown','[unknown]'),('candidate','(candidate)'),('unresolved','(unresolved)'),('unknown','an unknown state'),('unknown','unknown width'),('unresolved','an unresolved value'),('candidate','status candidate'),('ambiguous','status ambiguous'),('unsupported','status unsupported'),('unresolved','States: unresolved'),('unknown','a condition on'),('unknown','priority unknown'),('unknown','an unrendered value'),('unknown','an unknown condition'),('unresolved','an unresolved signal')) AS k(kind, marker)"
+_PROMPT = "r AS (SELECT DISTINCT record_id, input.text AS p, target.text AS c FROM dataset_records WHERE input.kind = 'prompt_v2' AND target.kind = 'rtl' AND input.text IS NOT NULL AND target.text IS NOT NULL)"
+_GRAMS = "list_distinct(list_transform(range(1, greatest(len({0}) - 2, 1)), lambda i: array_to_string({0}[i:i+3], chr(31))))"
 _HELD = "r AS (SELECT DISTINCT record_id, ip, source_rtl, module_body, normalized_ir, completion, body_shape FROM record_identity), held AS (" + " UNION ALL ".join(f"SELECT record_id, ip, '{c}' AS kind, {c} AS value FROM r WHERE {c} <> ''" for c in (*splits.HARD, splits.SOFT)) + ")"
 _COMP = f"""{_HELD},
 wide AS (SELECT value FROM held WHERE kind = 'body_shape' GROUP BY value HAVING count(DISTINCT ip) > 1),
@@ -236,7 +279,7 @@ _LEN = "v AS (SELECT length(text) AS v FROM documents WHERE text IS NOT NULL), o
 SQL = {
     "exact_dup_groups": f"SELECT 's1:' || substr(sha256('kf-leakage' || chr(31) || 'v1' || chr(31) || 'source_rtl' || chr(31) || {_NORM}), 1, 16) AS content, count(*) AS n_docs, count(DISTINCT source) AS n_sources, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "collapsed_dup_groups": "SELECT sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'), ' ')) AS content, count(*) AS n_docs, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
-    "body_shape_groups": f"WITH {_RTL}, t AS (SELECT record_id, ip, {_TOKENS.format('text')} AS t FROM rtl WHERE text IS NOT NULL), x AS (SELECT ip, sha256(array_to_string(list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^[A-Za-z_$]') AND NOT list_contains({_KW}, x) THEN 'ID' WHEN regexp_matches(x, '^[0-9'']') THEN 'N' ELSE x END), ' ')) AS shape FROM t) SELECT shape, count(*) AS n_records, count(DISTINCT ip) AS n_ips FROM x GROUP BY shape HAVING count(*) > 1",
+    "body_shape_groups": f"WITH {_RTL}, t AS (SELECT record_id, ip, {_SHAPES.format('text')} AS t FROM rtl WHERE text IS NOT NULL), x AS (SELECT ip, sha256(array_to_string(list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^[A-Za-z_]') AND NOT list_contains({_SHAPE_KW}, x) THEN 'ID' WHEN regexp_matches(x, '^[0-9]') THEN 'N' ELSE x END), ' ')) AS shape FROM t) SELECT shape, count(*) AS n_records, count(DISTINCT ip) AS n_ips FROM x GROUP BY shape HAVING count(*) > 1",
     "cross_ip_shapes": "SELECT body_shape, count(DISTINCT ip) AS n_ips, count(*) AS n_records FROM (SELECT DISTINCT record_id, ip, body_shape FROM record_identity WHERE body_shape <> '') GROUP BY 1 HAVING count(DISTINCT ip) > 1",
     "record_ids": f"WITH r AS (SELECT DISTINCT task, module FROM dataset_records), m AS (SELECT task.id AS id, task.version AS version, module.ip AS ip, module.name AS name, 'mod1:' || substr(sha256('kf-module' || chr(31) || 'v1' || chr(31) || trim(module.ip, {_B}) || chr(31) || trim(module.name, {_B})), 1, 16) AS module_digest FROM r) SELECT *, 'r2:' || substr(sha256('kf-record' || chr(31) || 'v2' || chr(31) || id || chr(31) || version || chr(31) || module_digest), 1, 16) AS record_digest FROM m",
     "canonical_records": """SELECT record_id, sha256('{"record_id":"' || record_id || '","split":"' || split || '","task":"' || task || '","version":' || version || '}') AS line_sha256 FROM (SELECT DISTINCT record_id, split, task.id AS task, task.version AS version FROM dataset_records)""",
@@ -246,21 +289,26 @@ SQL = {
     "quantiles_rounded": f"WITH {_LEN} SELECT n, l[1] AS low, l[-1] AS high, " + ", ".join(f"l[1 + least(CAST(round_even(CAST({q} AS DOUBLE) / 100 * (n - 1), 0) AS BIGINT), n - 1)] AS p{q}" for q in (50, 90, 99, 100)) + " FROM o",
     "token_counts": f"WITH {_RTL} SELECT record_id, len({_TOKENS.format('text')}) AS n_tokens FROM rtl WHERE text IS NOT NULL",
     "alpha_renamed": f"WITH {_RTL}, t AS (SELECT record_id, {_TOKENS.format('text')} AS t FROM rtl WHERE text IS NOT NULL), n AS (SELECT record_id, t, list_filter(t, lambda x: regexp_matches(x, '^[A-Za-z_$]') AND NOT list_contains({_KW}, x)) AS i FROM t), o AS (SELECT record_id, t, list_transform(list_sort(list_transform(list_distinct(i), lambda x: {{'p': list_position(i, x), 'x': x}})), lambda q: q.x) AS names FROM n) SELECT record_id, sha256(array_to_string(list_transform(t, lambda x: CASE WHEN list_contains(names, x) THEN 'v' || (list_position(names, x) - 1) ELSE x END), ' ')) AS stream_sha256 FROM o",
-    "prompt_overlap": f"""WITH r AS (SELECT DISTINCT record_id, input.text AS p, target.text AS c FROM dataset_records WHERE input.kind = 'prompt_v2' AND target.kind = 'rtl' AND input.text IS NOT NULL AND target.text IS NOT NULL),
-t AS (SELECT record_id, {_TOKENS.format("p")} AS pt, {_TOKENS.format("c")} AS ct FROM r),
-g AS (SELECT record_id, pt, ct, list_distinct(list_transform(range(1, greatest(len(pt) - 2, 1)), lambda i: array_to_string(pt[i:i+3], chr(31)))) AS pg, list_distinct(list_transform(range(1, greatest(len(ct) - 2, 1)), lambda i: array_to_string(ct[i:i+3], chr(31)))) AS cg FROM t),
-z AS (SELECT record_id, len(pt) AS prompt_tokens, len(ct) AS completion_tokens, len(pg) AS prompt_ngrams, len(list_intersect(pg, cg)) AS shared_ngrams FROM g)
-SELECT *, CASE WHEN prompt_ngrams = 0 THEN 0.0 ELSE round(shared_ngrams / prompt_ngrams, 6) END AS overlap, CASE WHEN prompt_ngrams = 0 OR round(shared_ngrams / prompt_ngrams, 6) <= 0.2 THEN 'PASS' ELSE 'FAIL' END AS status FROM z""",
-    "marker_counts": "SELECT doc_id, " + ", ".join(f"CAST((length(lower(text)) - length(replace(lower(text), '{m}', ''))) / {len(m)} AS BIGINT) AS m_{m.strip().replace(' ', '_')}" for m in text.MARKERS) + " FROM documents WHERE text IS NOT NULL",
-    "absolute_paths": "SELECT doc_id, k - 1 AS line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents WHERE text IS NOT NULL) WHERE regexp_matches(l, '" + text.ABSOLUTE.replace("'", "''") + "')",
-    "id_leaks": "SELECT DISTINCT record_id FROM (SELECT record_id, input.text AS t FROM dataset_records UNION ALL SELECT record_id, target.text FROM dataset_records) WHERE regexp_matches(t, '" + text.ID_LEAK + "')",
+    "prompt_overlap": f"""WITH {_PROMPT}, b AS (SELECT record_id, {_BARE.format("c")} AS b, {_TOKENS.format("p")} AS pt, {_TOKENS.format("c")} AS ct FROM r),
+n AS (SELECT *, list_concat(list_concat(regexp_extract_all(b, '\\bmodule\\s+(\\w+)', 1), regexp_extract_all(regexp_extract(b, '(?s)module\\s+\\w+\\s*(?:#\\s*\\(.*?\\)\\s*)?\\((.*?)\\)\\s*;', 1), '(\\w+)\\s*(?:,|$)', 1)),
+ list_concat(list_concat(regexp_extract_all(b, '\\b(?:reg|wire)\\s+(?:\\[[^\\]]*\\]\\s*)?(\\w+)', 1), regexp_extract_all(array_to_string(regexp_extract_all(b, '(?s)\\blocalparam\\b[^;]*;'), ' '), '(\\w+)\\s*=', 1)),
+ list_concat(list_concat(regexp_extract_all(b, '(\\w+)\\s+\\w+\\s*\\(\\s*\\.', 1), regexp_extract_all(b, '(\\w+)\\s*\\(\\s*\\.', 1)), regexp_extract_all(b, '\\.(\\w+)\\s*\\(', 1)))) AS canon FROM b),
+t AS (SELECT record_id, len(pt) AS prompt_tokens, len(ct) AS completion_tokens, list_transform(list_filter(pt, lambda x: NOT list_contains({_KW}, x) AND regexp_matches(x, '^[A-Za-z0-9_$'']')), lambda x: CASE WHEN list_contains(canon, x) THEN 'ID' ELSE x END) AS pn, list_transform(list_filter(ct, lambda x: NOT list_contains({_KW}, x) AND regexp_matches(x, '^[A-Za-z0-9_$'']')), lambda x: CASE WHEN list_contains(canon, x) THEN 'ID' ELSE x END) AS cn FROM n),
+g AS (SELECT record_id, prompt_tokens, completion_tokens, CASE WHEN len(pn) < 4 THEN [] ELSE list_filter({_GRAMS.format("pn")}, lambda x: x <> array_to_string(['ID', 'ID', 'ID', 'ID'], chr(31))) END AS pg, CASE WHEN len(cn) < 4 THEN [] ELSE {_GRAMS.format("cn")} END AS cg FROM t)
+SELECT record_id, prompt_tokens, completion_tokens, len(pg) AS prompt_ngrams, len(list_intersect(pg, cg)) AS shared_ngrams, CASE WHEN len(pg) = 0 THEN 0.0 ELSE round(len(list_intersect(pg, cg)) / len(pg), 6) END AS overlap FROM g""",
+    "prompt_raw_overlap": f"""WITH {_PROMPT}, t AS (SELECT record_id, {_TOKENS.format("p")} AS pt, {_TOKENS.format("c")} AS ct FROM r), g AS (SELECT record_id, CASE WHEN len(pt) < 4 THEN [] ELSE {_GRAMS.format("pt")} END AS pg, CASE WHEN len(ct) < 4 THEN [] ELSE {_GRAMS.format("ct")} END AS cg FROM t)
+SELECT record_id, len(pg) AS prompt_ngrams, len(list_intersect(pg, cg)) AS shared_ngrams, CASE WHEN len(pg) = 0 THEN 0.0 ELSE round(len(list_intersect(pg, cg)) / len(pg), 6) END AS raw_overlap FROM g""",
+    "prompt_noise": f"""WITH {_PROMPT} SELECT record_id, regexp_matches(p, '<=|==|!=|&&|\\|\\||\\?|\\b(always|always_ff|always_comb|always_latch|assign|begin|endmodule|endcase|posedge|negedge)\\b') AS syntax, regexp_matches(p, '[a-zA-Z0-9_$\\]]\\[') AS selects, regexp_matches(p, '\\b(node_id|syntax_type|BufferID|SyntaxKind|SyntaxNode)\\b|\\b(offset|buffer)\\s*[:=]\\s*[0-9]') AS parser_terms, regexp_matches(p, '(?m)(^|[\\s"''=:(,])(/(home|tmp|mnt|Users|workspace|root|var)/|[A-Za-z]:\\\\)') AS paths FROM r""",
+    "marker_counts": f"SELECT kind, marker, CAST(sum(n) AS BIGINT) AS n, count(*) FILTER (n > 0) AS n_docs FROM (SELECT kind, marker, (length(text) - length(replace(text, marker, ''))) // length(marker) AS n FROM documents, {_MARKS} WHERE text IS NOT NULL) GROUP BY ALL",
+    "absolute_paths": "SELECT source, count(*) AS n_lines, count(*) FILTER (regexp_matches(l, '(^|[\\s\"''=:(\\[,])/(home|tmp|mnt|Users|workspace)/')) AS n_paths FROM (SELECT source, unnest(string_split(text, chr(10))) AS l FROM documents WHERE text IS NOT NULL) GROUP BY source",
+    "id_leaks": "SELECT field, count(*) AS n_texts, count(*) FILTER (regexp_matches(t, '(sem1|beh1|str1|fsm1|n1|grp1|pv2):[0-9a-f]{16}')) AS n_leaks FROM (SELECT DISTINCT record_id, 'input' AS field, input.text AS t FROM dataset_records UNION SELECT DISTINCT record_id, 'target', target.text FROM dataset_records) WHERE t IS NOT NULL GROUP BY field",
     "budget_lines": "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents WHERE text IS NOT NULL), r AS (SELECT doc_id, sum(strlen(l) + 1) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM l) SELECT doc_id, count(*) AS n_lines, count(*) FILTER (upto <= 600) AS kept_lines, count(*) FILTER (upto <= 600) < count(*) AS truncated FROM r GROUP BY doc_id",
     "identity_groups": f"WITH RECURSIVE {_COMP} SELECT record_id, group_id FROM grp",
     "group_sizes": f"WITH RECURSIVE {_COMP} SELECT size, count(*) AS n_groups FROM (SELECT group_id, count(*) AS size FROM grp GROUP BY 1) GROUP BY 1",
     "greedy_split": f"WITH RECURSIVE {_ASSIGN} SELECT record_id, ip, group_id, split FROM res",
     "split_summary": f"WITH RECURSIVE {_ASSIGN} SELECT split, count(*) AS n_records, count(DISTINCT group_id) AS n_groups, count(DISTINCT ip) AS n_ips FROM res GROUP BY split",
     "split_crossing": f"WITH {_HELD}, s AS (SELECT DISTINCT record_id, split FROM dataset_records), v AS (SELECT kind, value, count(DISTINCT split) > 1 AS crosses FROM (SELECT DISTINCT record_id, kind, value FROM held) JOIN s USING (record_id) GROUP BY ALL) SELECT kind, count(*) AS n_values, count(*) FILTER (crosses) AS n_crossing FROM v GROUP BY kind",
-    "split_inheritance": f"SELECT trim(module.ip, {_B}) AS ip, trim(module.name, {_B}) AS module, count(DISTINCT split) AS n_splits FROM dataset_records GROUP BY ALL HAVING count(DISTINCT split) > 1",
+    "split_inheritance": f"SELECT n_splits, count(*) AS n_modules FROM (SELECT count(DISTINCT split) AS n_splits FROM (SELECT trim(module.ip, {_B}) AS ip, trim(module.name, {_B}) AS module, split FROM dataset_records) GROUP BY ip, module) GROUP BY 1",
     "task_breakdown": "SELECT task, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation, count(*) FILTER (split = 'test') AS test, count(*) AS n_records FROM (SELECT DISTINCT record_id, task.id AS task, split FROM dataset_records) GROUP BY task",
     "task_coverage": f"SELECT n_tasks, count(*) AS n_modules FROM (SELECT trim(module.ip, {_B}) AS ip, trim(module.name, {_B}) AS module, count(DISTINCT task.id) AS n_tasks FROM dataset_records GROUP BY ALL) GROUP BY 1",
     "change_classes": "WITH r AS (SELECT record_id, ingested_at, sha256(coalesce(input.text, '') || chr(31) || coalesce(target.text, target.value, '')) AS h FROM dataset_records), o AS (SELECT record_id, max(h) AS old_h FROM r WHERE ingested_at < TIMESTAMP '2024-07-01' GROUP BY 1), n AS (SELECT record_id, max(h) AS h FROM r GROUP BY 1) SELECT CASE WHEN old_h IS NULL THEN 'new' WHEN old_h <> h THEN 'modified' ELSE 'unchanged' END AS change, count(*) AS n_records FROM n LEFT JOIN o USING (record_id) GROUP BY 1",

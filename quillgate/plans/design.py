@@ -104,7 +104,10 @@ def fsm_numbering(s, d):
 
 
 def fsm_overridden(s, d):
-    return fsm.overridden(_fsm(s, d))
+    """Transitions by kind: all, and those that a later one without a condition overrides."""
+    t = fsm.transitions(_fsm(s, d)).where("src is not null")
+    o = fsm.overridden(_fsm(s, d)).withColumn("o", F.lit(1))
+    return t.join(o, ["doc_id", "machine", "pos"], "left").groupBy("kind").agg(F.count("*").alias("n"), F.count("o").alias("n_overridden"))
 
 
 def fsm_styles(s, d):
@@ -182,9 +185,10 @@ def line_keys(s, d):
 
 
 def vocabulary(s, d):
+    """Values of each column with a vocabulary: inside it, outside it, absent."""
     m = fsm.machines(_fsm(s, d)).select("f.style", "f.status", "f.quality")
-    out = governance.outside(m, "style", ["one_process", "two_process"])
-    return out.union(governance.outside(m, "status", ["confirmed", "candidate"])).union(governance.outside(m, "quality", ["high", "medium", "low"]))
+    out = governance.inside(m, "style", ["one_process", "two_process"])
+    return out.union(governance.inside(m, "status", ["confirmed", "candidate"])).union(governance.inside(m, "quality", ["high", "medium", "low"]))
 
 
 def artifact_states(s, d):
@@ -196,7 +200,8 @@ def artifact_states(s, d):
 
 
 def version_gate(s, d):
-    return governance.version_mismatches(table(s, d, "dataset_records").select("record_id", "versions"), "versions", {"registry": "2", "schema": "2"})
+    """Records by whether the versions they state are those required."""
+    return governance.version_counts(table(s, d, "dataset_records").select("record_id", "versions"), "versions", {"registry": "2", "schema": "2", "tokenizer": "sv-lex-v1"})
 
 
 def table_manifest(s, d):
@@ -231,18 +236,31 @@ def structural_projection(s, d):
 
 
 def module_prompts(s, d):
-    return records.prompts(records.structural_projection(_wrap(s, d)), 120)
+    return records.prompts(records.structural_projection(_wrap(s, d)), 32768)
 
 
 def stream_hourly(s, d):
     return jobs.drain(jobs.hourly(jobs.events(s, d)), "complete")
 
 
+def stream_sliding(s, d):
+    return jobs.drain(jobs.sliding(jobs.events(s, d)), "complete")
+
+
+def stream_sessions(s, d):
+    return jobs.drain(jobs.sessions(jobs.events(s, d)), "complete")
+
+
+def stream_moves(s, d):
+    """Moves between consecutive event types, summed over the users' state machines."""
+    return jobs.drain_updates(jobs.moves(jobs.events(s, d)), "user_id").groupBy("event_type", "next").agg(F.sum("n").alias("n"))
+
+
 def stream_once(s, d):
     return jobs.drain(jobs.once(jobs.events(s, d)))
 
 
-QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, clock_domains, register_holds, planned_records, structural_projection, module_prompts, stream_hourly, stream_once)}
+QUERIES = {f.__name__: f for f in (hierarchy_edges, top_modules, signal_degrees, fan_in_by_kind, dependency_merge, fan_in_cones, signal_loops, multiple_drivers, fsm_transitions, fsm_quality, fsm_encoding, fsm_unreachable, fsm_shapes, fsm_numbering, fsm_overridden, fsm_styles, fsm_gaps, register_evidence, symbol_resolution, scope_lookup, symbol_coverage, symbol_duplicates, order_classes, event_moves, foreign_keys, line_keys, vocabulary, artifact_states, version_gate, table_manifest, priority_styles, largest_parts, clock_domains, register_holds, planned_records, structural_projection, module_prompts, stream_hourly, stream_sliding, stream_sessions, stream_moves, stream_once)}
 
 _B = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _INS = f"ins AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS parent, unnest(instances) AS i FROM structural_wrap), e AS (SELECT DISTINCT ip, parent, trim(i.module, {_B}) AS child, trim(i.name, {_B}) AS instance FROM ins WHERE i IS NOT NULL AND trim(i.module, {_B}) <> '')"
@@ -267,7 +285,7 @@ SQL = {
     "register_holds": f"WITH {_REG} SELECT hold, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM rg GROUP BY hold",
     "planned_records": f"WITH m AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module FROM structural_wrap), t(task, version) AS (VALUES {_TASKS}) SELECT ip, module, task, version, 'r2:' || substr(sha256('kf-record' || chr(31) || 'v2' || chr(31) || task || chr(31) || version || chr(31) || 'mod1:' || substr(sha256('kf-module' || chr(31) || 'v1' || chr(31) || ip || chr(31) || module), 1, 16)), 1, 16) AS record_id FROM m, t",
     "structural_projection": f"WITH {_PROJ} SELECT ip, module, array_to_string(registers, ',') AS registers, array_to_string(children, ',') AS children FROM pj",
-    "module_prompts": f"WITH {_PROJ}, l AS (SELECT ip, module, list_concat(['Module ' || module || ' of ' || ip], list_transform(registers, lambda x: 'register ' || x), list_transform(children, lambda x: 'submodule ' || x)) AS ls FROM pj), u AS (SELECT ip, module, ls, unnest(ls) AS t, generate_subscripts(ls, 1) AS k FROM l), c AS (SELECT ip, module, ls, sum(strlen(t) + 1) OVER (PARTITION BY ip, module ORDER BY k) AS used FROM u), n AS (SELECT ip, module, ls, greatest(1, count(*) FILTER (used <= 120)) AS n FROM c GROUP BY ALL) SELECT ip, module, array_to_string(ls[1:n], chr(10)) AS prompt, len(ls) - n AS n_dropped FROM n",
+    "module_prompts": f"WITH {_PROJ}, l AS (SELECT ip, module, list_concat(['Module ' || module || ' of ' || ip], list_transform(registers, lambda x: 'register ' || x), list_transform(children, lambda x: 'submodule ' || x)) AS ls FROM pj), u AS (SELECT ip, module, ls, unnest(ls) AS t, generate_subscripts(ls, 1) AS k FROM l), c AS (SELECT ip, module, ls, sum(strlen(t) + 1) OVER (PARTITION BY ip, module ORDER BY k) AS used FROM u), n AS (SELECT ip, module, ls, greatest(1, count(*) FILTER (used <= 32768)) AS n FROM c GROUP BY ALL) SELECT ip, module, array_to_string(ls[1:n], chr(10)) AS prompt, len(ls) - n AS n_dropped FROM n",
     "hierarchy_edges": f"WITH {_INS}, h AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS child, 'resolved' AS st FROM structural_wrap) SELECT ip, parent, child, instance, coalesce(st, 'no_document') AS status FROM e LEFT JOIN h USING (ip, child)",
     "top_modules": f"WITH {_INS}, n AS (SELECT ip, parent AS module, count(*) AS n FROM e GROUP BY ALL), t AS (SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.ip = n.ip AND e.child = n.module)), r AS (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY n DESC, module) AS k, count(*) OVER (PARTITION BY ip) AS n_roots FROM t) SELECT ip, module AS top, n AS n_instances, n_roots FROM r WHERE k = 1",
     "signal_degrees": f"WITH {_DEP}, e AS (SELECT DISTINCT scope, src, dst FROM d) SELECT scope, node, CAST(sum(i) AS BIGINT) AS fan_in, CAST(sum(o) AS BIGINT) AS fan_out FROM (SELECT scope, dst AS node, 1 AS i, 0 AS o FROM e UNION ALL SELECT scope, src, 0, 1 FROM e) GROUP BY ALL",
@@ -283,7 +301,7 @@ SQL = {
     "fsm_unreachable": f"WITH RECURSIVE {_FSM}, r AS (SELECT DISTINCT doc_id, machine, state FROM st WHERE is_reset UNION SELECT r.doc_id, r.machine, tr.dst FROM r JOIN tr ON tr.doc_id = r.doc_id AND tr.machine = r.machine AND tr.src = r.state AND move = 'step') SELECT DISTINCT doc_id, machine, state FROM st WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = st.doc_id AND r.machine = st.machine AND r.state = st.state)",
     "fsm_shapes": f"WITH {_FSM}, s AS (SELECT doc_id, machine, state, min(pos) AS pos FROM st GROUP BY ALL), rk AS (SELECT doc_id, machine, state, row_number() OVER (PARTITION BY doc_id, machine ORDER BY pos) AS r FROM s), mv AS (SELECT tr.doc_id, tr.machine, array_to_string(list_sort(list(DISTINCT a.r || '>' || b.r)), ',') AS moves FROM tr JOIN rk a ON a.doc_id = tr.doc_id AND a.machine = tr.machine AND a.state = tr.src JOIN rk b ON b.doc_id = tr.doc_id AND b.machine = tr.machine AND b.state = tr.dst WHERE move <> 'unknown' GROUP BY ALL), c AS (SELECT doc_id, machine, count(*) AS n FROM s GROUP BY ALL), sh AS (SELECT m.doc_id, m.machine, sha256(coalesce(m.f.style, '') || chr(31) || n || chr(31) || coalesce(moves, '')) AS shape FROM m JOIN c USING (doc_id, machine) LEFT JOIN mv USING (doc_id, machine)) SELECT shape, count(*) AS n_machines, count(DISTINCT doc_id) AS n_docs FROM sh GROUP BY shape HAVING count(*) > 1",
     "fsm_numbering": f"WITH {_FSM}, k AS (SELECT *, row_number() OVER w AS k FROM st WINDOW w AS (PARTITION BY doc_id, machine ORDER BY pos)), b AS (SELECT *, last_value(CASE WHEN value IS NOT NULL THEN value - k END IGNORE NULLS) OVER (PARTITION BY doc_id, machine ORDER BY pos) AS off FROM k) SELECT doc_id, machine, pos, state, coalesce(off + k, k - 1) AS number FROM b",
-    "fsm_overridden": f"WITH {_FSM}, t AS (SELECT *, max(CASE WHEN condition IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, machine, src ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM tr WHERE src IS NOT NULL) SELECT doc_id, machine, pos FROM t WHERE later = 1",
+    "fsm_overridden": f"WITH {_FSM}, t AS (SELECT *, max(CASE WHEN condition IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, machine, src ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM tr WHERE src IS NOT NULL) SELECT kind, count(*) AS n, count(*) FILTER (later = 1) AS n_overridden FROM t GROUP BY kind",
     "fsm_styles": f"WITH {_FSM}, n AS (SELECT f.style AS style, count(*) AS n FROM m GROUP BY ALL) SELECT style, n, round(100 * n / sum(n) OVER (), 2) AS percent FROM n",
     "register_evidence": f"WITH r AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, registers FROM structural_wrap), x AS (SELECT ip, module, least(60 * coalesce(len(list_filter(registers, lambda q: q.clock IS NOT NULL)), 0), 180) + least(40 * coalesce(len(list_filter(registers, lambda q: len(q.enables) > 0)), 0), 120) + least(30 * coalesce(len(list_filter(registers, lambda q: q.hold = 'explicit')), 0), 90) AS score FROM r) SELECT ip, module, score, CASE WHEN score >= 280 THEN 'high' WHEN score >= 160 THEN 'medium' WHEN score >= 80 THEN 'low' ELSE 'none' END AS confidence FROM x",
     "symbol_resolution": f"WITH {_SYM}, sy AS (SELECT DISTINCT ip, module, name, 1 AS k FROM y), {_DEP}, rf AS (SELECT DISTINCT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, trim(s.signal, {_B}) AS name FROM (SELECT ip, module, unnest(t.sources) AS s FROM (SELECT ip, module, unnest(targets) AS t FROM dependency_ctrl)) WHERE s.signal IS NOT NULL), g AS (SELECT ip, count(*) AS n, count(k) AS k FROM rf LEFT JOIN sy USING (ip, module, name) GROUP BY ip) SELECT ip, coalesce(n, 0) AS n_refs, coalesce(k, 0) AS n_resolved, CASE WHEN coalesce(n, 0) = 0 THEN 100.0 ELSE round(100 * k / n, 2) END AS rate FROM (SELECT DISTINCT ip FROM y) LEFT JOIN g USING (ip)",
@@ -294,11 +312,15 @@ SQL = {
     "event_moves": "WITH x AS (SELECT event_type, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events) SELECT event_type, next, count(*) AS n, CASE WHEN event_type = next THEN 'self' ELSE 'step' END AS move FROM x WHERE next IS NOT NULL GROUP BY ALL",
     "foreign_keys": "SELECT 'lineitem.orders' AS relation, count(*) AS n_rows FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'lineitem.part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) UNION ALL SELECT 'lineitem.supplier', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT 'orders.customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)",
     "line_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
-    "vocabulary": f"WITH {_FSM} SELECT 'style' AS column_name, f.style AS value, count(*) AS n FROM m WHERE f.style NOT IN ('one_process', 'two_process') GROUP BY ALL UNION ALL SELECT 'status', f.status, count(*) FROM m WHERE f.status NOT IN ('confirmed', 'candidate') GROUP BY ALL UNION ALL SELECT 'quality', f.quality, count(*) FROM m WHERE f.quality NOT IN ('high', 'medium', 'low') GROUP BY ALL",
+    "vocabulary": f"WITH {_FSM} SELECT 'style' AS column_name, count(*) FILTER (f.style IN ('one_process', 'two_process')) AS n_inside, count(*) FILTER (f.style NOT IN ('one_process', 'two_process')) AS n_outside, count(*) FILTER (f.style IS NULL) AS n_absent FROM m UNION ALL SELECT 'status', count(*) FILTER (f.status IN ('confirmed', 'candidate')), count(*) FILTER (f.status NOT IN ('confirmed', 'candidate')), count(*) FILTER (f.status IS NULL) FROM m UNION ALL SELECT 'quality', count(*) FILTER (f.quality IN ('high', 'medium', 'low')), count(*) FILTER (f.quality NOT IN ('high', 'medium', 'low')), count(*) FILTER (f.quality IS NULL) FROM m",
     "artifact_states": f"WITH x AS (SELECT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, max(built_at) AS a FROM structural_wrap GROUP BY ALL), o AS (SELECT trim(ip, {_B}) AS ip, trim(module, {_B}) AS module, max(built_at) AS b FROM dependency_ctrl GROUP BY ALL), j AS (SELECT ip, module, CASE WHEN b IS NULL THEN 'MISSING' WHEN a IS NULL THEN 'ORPHAN' WHEN b < a THEN 'STALE' ELSE 'CURRENT' END AS state FROM x FULL JOIN o USING (ip, module)) SELECT *, CASE WHEN state = 'CURRENT' THEN 'NONE' WHEN state IN ('STALE', 'MISSING') THEN 'REGENERATE' ELSE 'QUARANTINE' END AS action FROM j",
-    "version_gate": "WITH q AS (SELECT unnest(['registry', 'schema']) AS name, '2' AS required), x AS (SELECT name, required, versions[name] AS stated FROM dataset_records, q) SELECT name, required, stated, count(*) AS n FROM x WHERE stated IS DISTINCT FROM required GROUP BY ALL",
+    "version_gate": "WITH q AS (SELECT unnest(['registry', 'schema', 'tokenizer']) AS name, unnest(['2', '2', 'sv-lex-v1']) AS required) SELECT name, required, count(*) AS n, count(*) FILTER (versions[name] IS DISTINCT FROM required) AS n_mismatched FROM dataset_records, q GROUP BY ALL",
     "table_manifest": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {t}" for t, k in (("symbols", "symbol_id"), ("documents", "doc_id"), ("fsm_ctrl", "doc_id"), ("structural_wrap", "doc_id"), ("dependency_ctrl", "doc_id"), ("record_identity", "record_id"), ("dataset_records", "record_id"), ("raw_docs", "raw_id"))),
     "priority_styles": "SELECT o_orderpriority, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM orders GROUP BY 1",
     "largest_parts": "SELECT l_partkey, count(*) AS n_lines, count(DISTINCT l_suppkey) AS n_suppliers FROM lineitem GROUP BY 1 ORDER BY n_lines DESC, l_partkey LIMIT 20",
+    "stream_hourly": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, sum(value) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL",
+    "stream_sliding": "SELECT time_bucket(INTERVAL '2 hours', ts) - o * INTERVAL '2 hours' AS start, event_type, count(*) AS n FROM events, (SELECT unnest([0, 1, 2]) AS o) WHERE ts IS NOT NULL GROUP BY ALL",
+    "stream_sessions": "WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '8 hours' THEN 0 ELSE 1 END AS first FROM events WHERE ts IS NOT NULL), g AS (SELECT user_id, ts, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL '8 hours' AS until, count(*) AS n FROM g GROUP BY user_id, k",
+    "stream_moves": "WITH x AS (SELECT event_type, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL) SELECT event_type, next, count(*) AS n FROM x WHERE next IS NOT NULL GROUP BY ALL",
     "stream_once": "SELECT DISTINCT event_id, user_id, event_type FROM events",
 }

@@ -82,7 +82,7 @@ def test_similarity_classes_count_all_pairs(spark, tmp_path):
     spark.createDataFrame([(k, "h") for k in texts] + [("f", "")], ids).write.parquet(f"{tmp_path}/record_identity.parquet")
     spark.createDataFrame([(k, ("ip", k), ("t",), ("rtl", v), None) for k, v in texts.items()] + [("f", ("ip", "f"), ("t",), ("rtl", "x"), None)], rec).write.parquet(f"{tmp_path}/dataset_records.parquet")
     got = {r["class"]: (r["n_edges"], r["n_pairs"]) for r in corpus.similarity_classes(spark, str(tmp_path)).collect()}
-    assert got == {"near_duplicate": (1, 3), "structural": (2, 3), "informational": (3, 4)}
+    assert got == {"near_duplicate": (1, 3), "structural_similarity": (2, 3), "informational": (3, 4)}
     two = [("a", "f", "1 2 3 4"), ("b", "f", "1 2 3 4"), ("a", "f", "1 2 3 5"), ("b", "f", "1 2 3 5"), ("c", "f", "1 2 3 5")]
     got = [tuple(r) for r in similarity.NearTexts(spark.createDataFrame(two, "key string, fingerprint string, stream string")).tally().collect()]
     assert got == [("near_duplicate", 1, 7, 0.75)]
