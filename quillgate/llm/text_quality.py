@@ -134,10 +134,9 @@ def learn_common(documents: DataFrame) -> Common:
     w = Scratch(documents.sparkSession).save(w)
     docs = w.where("word = '' and lang <> ''").select("lang", F.col("inside").alias("docs")).where(F.col("docs") >= LEAST_DOCS)
     layout = w.where("lang = ''").select("word", F.col("outside").alias("o"))
-    rest = layout.where("word = ''").select(F.col("o").alias("others"))
+    others = (layout.where("word = ''").agg(F.max("o").alias("o")).first()["o"] or 0) + 1e-9
     x = w.where("lang <> '' and word <> ''").select("lang", "word", "inside").join(F.broadcast(docs), "lang").where(F.col("inside") >= COMMON_FROM * F.col("docs"))  # a row per language
-    x = x.join(layout, "word", "left").join(F.broadcast(rest), F.lit(True), "left")
-    x = x.where(F.coalesce(F.col("o") / F.col("others"), F.lit(0.0)) <= OUTSIDE * F.col("inside") / F.col("docs"))
+    x = x.join(layout, "word", "left").where(F.coalesce(F.col("o"), F.lit(0)) / others <= OUTSIDE * F.col("inside") / F.col("docs"))
     top = x.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("inside"), "word"))).where(F.col("k") <= COMMON_WORDS)
     words: dict[str, list[str]] = {}
     for r in top.select("lang", "word", "k").orderBy("lang", "k").collect():  # COMMON_WORDS for each stated language
