@@ -74,16 +74,17 @@ def artifact_classes(observed: DataFrame, expected: DataFrame, historical: tuple
     old = F.lit(False)
     for p in historical:
         old = old | F.col("path").startswith(p)
+    say = lambda state, reason: F.struct(F.lit(state).alias("state"), F.lit(reason).cast("string").alias("reason"))
     decision = (
-        F.when(F.col("sha256").isNull(), F.struct(F.lit("STALE").alias("state"), F.lit("missing").alias("reason")))
-        .when(old, F.struct(F.lit("HISTORICAL"), F.lit("kept")))
-        .when(F.coalesce("symlink", F.lit(False)), F.struct(F.lit("UNMANAGED"), F.lit("symlink")))
-        .when(F.col("kind").isNull(), F.struct(F.lit("UNMANAGED"), F.lit("unknown kind")))
-        .when(F.col("module").isNotNull() & F.col("alive").isNull(), F.struct(F.lit("ORPHAN"), F.lit("module is gone")))
-        .when(F.col("planned").isNull(), F.struct(F.lit("ORPHAN"), F.lit("nothing expects it")))
-        .when(F.col("want_source").isNotNull() & ~F.col("source_sha256").eqNullSafe(F.col("want_source")), F.struct(F.lit("STALE"), F.lit("source changed")))
-        .when(F.col("want").isNotNull() & (F.col("sha256") != F.col("want")), F.struct(F.lit("STALE"), F.lit("content differs")))
-        .otherwise(F.struct(F.lit("CURRENT"), F.lit(None).cast("string")))
+        F.when(F.col("sha256").isNull(), say("STALE", "missing"))
+        .when(old, say("HISTORICAL", "kept"))
+        .when(F.coalesce("symlink", F.lit(False)), say("UNMANAGED", "symlink"))
+        .when(F.col("kind").isNull(), say("UNMANAGED", "unknown kind"))
+        .when(F.col("module").isNotNull() & F.col("alive").isNull(), say("ORPHAN", "module is gone"))
+        .when(F.col("planned").isNull(), say("ORPHAN", "nothing expects it"))
+        .when(F.col("want_source").isNotNull() & ~F.col("source_sha256").eqNullSafe(F.col("want_source")), say("STALE", "source changed"))
+        .when(F.col("want").isNotNull() & (F.col("sha256") != F.col("want")), say("STALE", "content differs"))
+        .otherwise(say("CURRENT", None))
     )
     cleanable = F.lit(False)
     for p in managed:
@@ -181,7 +182,7 @@ def materialization(listed: DataFrame, present: DataFrame, includes: DataFrame,
     lost = includes.where("target is null").join(external, ["ip", "name"], "left_anti")
     out = out.union(say(lost, "include unresolved", "name"))
     outside = includes.where("target is not null").select("ip", F.col("target").alias("path")).distinct().join(listed, ["ip", "path"], "left_anti")
-    out = out.union(say(outside, "include resolves to a file that isn't listed"))
+    out = out.union(say(outside, "include resolves to a file not listed"))
     out = out.union(say(exclusions.join(present, ["ip", "path"], "left_anti"), "exclusion is stale"))
     return out.union(say(external.join(includes.select("ip", "name"), ["ip", "name"], "left_anti"), "external include unused", "name"))
 

@@ -61,3 +61,83 @@ def publish(df: DataFrame, path: str) -> int:
     fs.rename(new, now)
     fs.delete(old, True)
     return n
+
+
+def write_json(spark: SparkSession, value, path: str) -> bool:
+    """An object as one JSON file, indented by 2 with a line end; written only if its bytes differ from what is there. Returns whether it was written."""
+    import json
+
+    data = bytearray((json.dumps(value, indent=2, ensure_ascii=False) + "\n").encode())
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        row = spark.read.format("binaryFile").load(path).select("content").first()
+        if row is not None and bytes(row["content"]) == bytes(data):
+            return False
+    out = fs.create(p, True)
+    out.write(data)
+    out.close()
+    return True
+
+
+def write_dataset(records: DataFrame, split: DataFrame, changes: DataFrame, folder: str) -> dict[str, int]:
+    """The six line files of a dataset (train, validation, test, mixed, new, old) as folders of canonical lines, ordered by record_id, and how many each has.
+
+    records: any columns with record_id; split: (record_id, split); changes: (record_id, change). mixed is all records; new are new and modified ones, old unchanged.
+    """
+    j = records.join(split, "record_id").join(changes, "record_id", "left")
+    parts = {k: j.where(F.col("split") == k) for k in ("train", "validation", "test")} | {"mixed": j, "new": j.where("change in ('new', 'modified')"), "old": j.where("change = 'unchanged'")}
+    out = {}
+    for name, df in parts.items():
+        df = df.drop("split", "change").orderBy("record_id")
+        df.select(canonical_line(df).alias("value")).write.mode("overwrite").text(f"{folder}/{name}.jsonl")
+        out[name] = records.sparkSession.read.text(f"{folder}/{name}.jsonl").count()
+    return out
+
+
+def copy_missing(source: DataFrame, target: str, key: list[str]) -> int:
+    """Append to a table of ``target`` the rows whose key isn't there; what is there is never overwritten. Returns the rows added."""
+    spark = source.sparkSession
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(target)
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    new = source.dropDuplicates(key)
+    if there:
+        new = new.join(spark.read.parquet(target).select(*key), key, "left_anti")
+    from .tables import Scratch
+
+    new, seen = Scratch(spark).counted(new)
+    if seen["n"] or not there:
+        new.write.mode("append").parquet(target)
+    return seen["n"]
+
+
+def quarantine(spark: SparkSession, root: str, paths: list[str], apply: bool = False) -> list[tuple[str, str]]:
+    """Move files below ``root`` to root/quarantine; (path, what happens or happened) of each. Paths that are absolute, climb out or don't exist are refused; nothing is
+    moved without ``apply``."""
+    jvm = spark.sparkContext._jvm
+    P = jvm.org.apache.hadoop.fs.Path
+    fs = P(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for path in paths:
+        if path.startswith("/") or ".." in path.split("/") or not path:
+            out.append((path, "refused"))
+            continue
+        src, dst = P(f"{root}/{path}"), P(f"{root}/quarantine/{path}")
+        if not fs.exists(src):
+            out.append((path, "missing"))
+        elif not apply:
+            out.append((path, "would move"))
+        else:
+            fs.mkdirs(dst.getParent())
+            out.append((path, "moved" if fs.rename(src, dst) else "refused"))
+    return out
+
+
+def report_text(rows: DataFrame, title: str, most: int = 1000) -> str:
+    """A small report as Markdown; ``most`` rows are shown and the rest counted."""
+    got = rows.limit(most + 1).collect()
+    lines = [f"## {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + "---|" * len(rows.columns)]
+    lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in got[:most]]
+    return "\n".join(lines + ([f"more than {most} rows"] if len(got) > most else [])) + "\n"
