@@ -92,7 +92,43 @@ lostd AS (SELECT DISTINCT 'dependency_ctrl' AS table_name, doc_id, 'signal' AS f
   SELECT 1 FROM sy WHERE sy.ip = dr.ip AND sy.module = dr.module AND sy.name = dr.ref_name AND sy.declared_at <= dr.built_at AND (sy.removed_at IS NULL OR sy.removed_at > dr.built_at))),
 lost AS (SELECT * FROM lostf UNION ALL SELECT * FROM lostd)"""
 
+
+
+def _items(x: str) -> str:
+    """The items of a JSON value as a list: of an array, of a list or object written as text, or the value itself; null has none."""
+    many = lambda v: f"CASE WHEN json_type({v}) = 'ARRAY' THEN CAST({v} AS JSON[]) WHEN json_type({v}) = 'NULL' THEN [] ELSE [{v}] END"
+    inner = f"CAST(json_extract_string({x}, '$') AS JSON)"
+    return f"CASE WHEN {x} IS NULL OR json_type({x}) = 'NULL' THEN [] WHEN json_type({x}) = 'VARCHAR' AND regexp_matches(json_extract_string({x}, '$'), '^\\s*[\\[{{]') THEN (CASE WHEN json_valid(json_extract_string({x}, '$')) THEN {many(inner)} ELSE [] END) ELSE {many(x)} END"
+
+
+def _step(name: str, of: str, keep: str, value: str, at: str) -> str:
+    """A table of the items of one member, each with its position; null items count as positions only."""
+    return f"{name}0 AS (SELECT {keep}, {_items(value)} AS l FROM {of}), {name} AS (SELECT * FROM (SELECT {keep}, unnest(l) AS v, generate_subscripts(l, 1) - 1 AS {at} FROM {name}0) WHERE json_type(v) <> 'NULL')"
+
+
+_RAW = f"""pl AS (SELECT DISTINCT raw_id, ltrim(payload, chr(65279)) AS t FROM raw_docs WHERE payload IS NOT NULL AND raw_id IS NOT NULL), jv AS (SELECT raw_id, CAST(t AS JSON) AS v FROM pl WHERE json_valid(t)),
+{_step("dc", "jv", "raw_id", "v", "n")}, bx AS (SELECT raw_id, CASE WHEN json_type(v) = 'OBJECT' AND coalesce(json_type(json_extract(v, 'document')), 'NULL') <> 'NULL' THEN json_extract(v, 'document') ELSE v END AS v FROM dc),
+{_step("dd", "bx", "raw_id", "v", "n")},
+{_step("ma", "dd", "raw_id", "json_extract(v, 'fsms')", "pos1")}, {_step("sx", "ma", "raw_id, pos1", "json_extract(v, 'states')", "pos2")}, {_step("tx", "ma", "raw_id, pos1", "json_extract(v, 'transitions')", "pos2")},
+{_step("ia", "dd", "raw_id", "json_extract(v, 'instances')", "pos1")}, {_step("cx", "ia", "raw_id, pos1", "json_extract(v, 'connections')", "pos2")}, {_step("gx", "cx", "raw_id, pos1, pos2", "json_extract(v, 'signals')", "pos3")}"""
+
+
+def _field(name: str, alias: str | None = None) -> str:
+    return f"CASE WHEN json_type(json_extract(v, '{name}')) IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(v, '{name}') END AS {alias or name}"
+
+
+def _fields(*names: str) -> str:
+    return ", ".join(_field(n) for n in names)
+
+
 SQL = {
+    "p4_found": f"WITH {_RAW} SELECT raw_id, 'state' AS item_kind, CAST(pos1 AS INT) AS pos1, CAST(pos2 AS INT) AS pos2, -1 AS pos3 FROM sx UNION ALL SELECT raw_id, 'transition', pos1, pos2, -1 FROM tx UNION ALL SELECT raw_id, 'signal', pos1, pos2, pos3 FROM gx",
+    "p4_machines": f"WITH {_RAW} SELECT raw_id, pos1 AS machine, {_fields('state_register', 'style', 'status', 'quality', 'width')} FROM ma",
+    "p4_states": f"WITH {_RAW} SELECT raw_id, pos1 AS machine, pos2 AS state, CASE WHEN json_type(v) = 'OBJECT' THEN json_extract_string(v, 'name') WHEN json_type(v) = 'ARRAY' THEN NULL ELSE json_extract_string(v, '$') END AS name, {_fields('reset', 'value')} FROM sx",
+    "p4_transitions": f"WITH {_RAW} SELECT raw_id, pos1 AS machine, pos2 AS transition, {_fields('condition', 'kind', 'status')}, {_field('from', 'from_state')}, {_field('to', 'to_state')} FROM tx",
+    "p4_instances": f"WITH {_RAW} SELECT raw_id, pos1 AS instance, {_fields('name', 'module', 'status')} FROM ia",
+    "p4_connections": f"WITH {_RAW} SELECT raw_id, pos1 AS instance, pos2 AS connection, {_fields('port', 'direction')} FROM cx",
+    "p4_signals": f"WITH {_RAW} SELECT raw_id, pos1 AS instance, pos2 AS connection, pos3 AS position, CASE WHEN json_type(v) IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(v, '$') END AS signal FROM gx",
     "p2_found": f"{_CLOSURE} SELECT ip, ancestor, descendant FROM r",
     "p2_cycles": f"{_CLOSURE} SELECT ip, ancestor AS module FROM r WHERE ancestor = descendant",
     "p2_paths": f"""WITH RECURSIVE {_EDGES}, {_ROOTS},
