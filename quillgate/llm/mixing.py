@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import Scratch, clean
 
-#: Ranks of a public byte-level BPE vocabulary; a path on every worker.
+#: Ranks of a public byte-level BPE vocabulary; read by the driver, which sends it along with the job to workers that don't have the path.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How that vocabulary splits text before merging (fixed value).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEED = 20
 
 _encoders: dict[str, object] = {}
+_sent: set[tuple[str, str]] = set()
 
 
 def encoder(path: str):
@@ -38,8 +41,13 @@ def source_name(col):
 def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, n_tokens). A null text has 0 tokens. Whole texts are counted."""
 
+    context = documents.sparkSession.sparkContext
+    if (context.applicationId, tokenizer) not in _sent:
+        _sent.add((context.applicationId, tokenizer))
+        context.addFile(tokenizer)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer if os.path.exists(tokenizer) else SparkFiles.get(os.path.basename(tokenizer)))
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n, pa.int64())], names=["doc_id", "source", "n_tokens"])
