@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import salted_join
 from ..sources.tables import Scratch
 
 #: Similarity classes (fixed values): near duplicate, structural, informational.
@@ -55,16 +56,16 @@ class NearTexts:
         self.scratch = s = Scratch(texts.sparkSession)
         x = texts.where("key is not null and fingerprint is not null and stream is not null")
         self.members = s.save(x.select("key", F.sha2(F.to_json(F.struct("fingerprint", "stream")), 256).alias("class_id"), "fingerprint", "stream").distinct())
-        self.classes = s.save(self.members.groupBy("class_id").agg(F.min("key").alias("key"), F.count("*").alias("n_keys"), F.first("fingerprint").alias("fingerprint"), F.first("stream").alias("stream")))
+        self.classes, self.seen = s.counted(self.members.groupBy("class_id").agg(F.min("key").alias("key"), F.count("*").alias("n_keys"), F.first("fingerprint").alias("fingerprint"), F.first("stream").alias("stream")))
 
     def class_pairs(self, least: float = NEAR) -> DataFrame:
         """(class_a, class_b, a, b, similarity) of different classes that agree by ``least`` or more; a <= b are their representatives, in the order of the comparison.
 
-        Pairs whose lengths rule the limit out never reach Python. Classes with the same representative (a key with several texts) are compared too, as their
+        Pairs whose lengths rule the limit out never reach Python; a fingerprint under many texts is cut over several tasks. Classes with the same representative (a key with several texts) are compared too, as their
         other members differ.
         """
         side = lambda k: self.classes.select("fingerprint", F.col("class_id").alias(f"class_{k}"), F.col("key").alias(k), F.col("stream").alias(f"s{k}"))
-        p = side("a").join(side("b"), "fingerprint").where("a < b or a = b and class_a < class_b").where(F.round(length_bound(F.split("sa", " "), F.split("sb", " ")), 6) >= least)
+        p = salted_join(side("a"), side("b"), ["fingerprint"], self.seen["n"]).where("a < b or a = b and class_a < class_b").where(F.round(length_bound(F.split("sa", " "), F.split("sb", " ")), 6) >= least)
         return p.withColumn("similarity", F.round(seq_ratio("sa", "sb"), 6)).where(F.col("similarity") >= least).select("class_a", "class_b", "a", "b", "similarity")
 
     def edges(self, least: float = NEAR) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr
+from ..operators import prompts
 from ..sources import rtl
-from ..sources.tables import clean, table
+from ..sources.tables import Scratch, clean, table
 
 
 def _texts(s, d) -> DataFrame:
@@ -169,12 +170,27 @@ def rtl_counts(s, d):
     return x.where("section not in ('fan', 'cone')").groupBy("section", "kind", "status").agg(F.count("*").alias("n"))
 
 
+_SPOKEN = ("port", "register", "assign", "machine", "transition", "instance")
+
+
+def rtl_prompts(s, d):
+    """Prompts of all modules within 32,768 bytes, by size."""
+    return prompts.render(_rows(s, d, *_SPOKEN)).select("record_id", "module", "n_bytes", "n_records", "n_dropped", F.sha2("prompt", 256).alias("sha256"))
+
+
+def rtl_prompt_faults(s, d):
+    """Prompts by the rule they break; every rule has a row."""
+    p = Scratch(s).save(prompts.render(_rows(s, d, *_SPOKEN)))
+    n = p.agg(F.count("*").alias("n_prompts"))
+    return prompts.faults(p).groupBy("problem").agg(F.count("*").alias("n")).unionByName(n.select(F.lit("prompts").alias("problem"), F.col("n_prompts").alias("n")))
+
+
 def rtl_projections(s, d):
     """Canonical projections of every module by size and digest."""
     return rtl.read_projections(_texts(s, d)).select("record_id", "module", "projection", F.length("value").alias("n_chars"), F.sha2("value", 256).alias("sha256"))
 
 
-QUERIES = {f.__name__: f for f in (rtl_sections, rtl_interfaces, rtl_ports, rtl_constants, rtl_expressions, rtl_nodes, rtl_processes, rtl_registers, rtl_events, rtl_leaves, rtl_enables, rtl_latches, rtl_read_write, rtl_dependencies, rtl_drivers, rtl_loads, rtl_signals, rtl_undriven_outputs, rtl_classes, rtl_loops, rtl_cones, rtl_machines, rtl_states, rtl_transitions, rtl_outputs, rtl_actions, rtl_couplings, rtl_rejected, rtl_pins, rtl_counts, rtl_projections)}
+QUERIES = {f.__name__: f for f in (rtl_sections, rtl_interfaces, rtl_ports, rtl_constants, rtl_expressions, rtl_nodes, rtl_processes, rtl_registers, rtl_events, rtl_leaves, rtl_enables, rtl_latches, rtl_read_write, rtl_dependencies, rtl_drivers, rtl_loads, rtl_signals, rtl_undriven_outputs, rtl_classes, rtl_loops, rtl_cones, rtl_machines, rtl_states, rtl_transitions, rtl_outputs, rtl_actions, rtl_couplings, rtl_rejected, rtl_pins, rtl_counts, rtl_prompts, rtl_prompt_faults, rtl_projections)}
 
 # In the records every module has its ports in the header, one declaration per port, and its constants are numbers: patterns can say the same.
 _TEXT = """t AS (SELECT DISTINCT record_id, regexp_replace(regexp_replace(CASE WHEN input.kind = 'rtl' THEN input.text ELSE target.text END, '(?s)/\\*.*?\\*/', ' ', 'g'), '//[^\\n]*', ' ', 'g') AS t FROM dataset_records),

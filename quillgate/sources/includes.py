@@ -32,3 +32,11 @@ def closure(resolved: DataFrame) -> DataFrame:
     """(path, includes): all files that a file includes, directly or not; loops end."""
     e = resolved.where("target is not null").select(F.lit("").alias("scope"), F.col("path").alias("parent"), F.col("target").alias("child"))
     return descendants(e, "scope").select(F.col("ancestor").alias("path"), F.col("descendant").alias("includes"))
+
+
+def missing(resolved: DataFrame) -> DataFrame:
+    """(path, name, kind): includes nothing resolves, of a file or of any file it includes: unresolved, or conditional_external where every directive is conditional."""
+    own = resolved.where("target is null").groupBy("path", "name").agg(F.bool_and("conditional").alias("c"))
+    reach = closure(resolved).union(resolved.select("path", F.col("path").alias("includes")).distinct()).distinct()
+    x = reach.join(own.select(F.col("path").alias("includes"), "name", "c"), "includes").groupBy("path", "name").agg(F.bool_and("c").alias("c"))
+    return x.select("path", "name", F.when(F.col("c"), "conditional_external").otherwise("unresolved").alias("kind"))

@@ -181,3 +181,48 @@ def test_command_line(spark, capsys, tmp_path):
     d = "/root/testdata/sf0.001"
     assert cli.main(["run", "task_breakdown", "--data", d, "--out", str(tmp_path), "--format", "csv"]) == 0 and any(tmp_path.glob("task_breakdown/*.csv"))
     assert cli.main(["gate", "--data", d]) in (0, 1)
+
+
+def test_prompts_are_cut_in_order(spark):
+    from quillgate.operators import prompts
+
+    s = {"Module": ["input a, 1 bit"], "Submodules": [f"u{k} is an instance of m" for k in range(5)], "Registers": [f"r{k}" for k in range(40)], "State machines": ["x"]}
+    whole, left = prompts.within(s)
+    assert sum(left.values()) == 47 and "[truncated" not in whole and whole.index("Registers:") < whole.index("State machines:") < whole.index("Submodules:")
+    for budget in range(len(whole) - 1, 250, -7):
+        text, left = prompts.within(s, budget)
+        assert len(text) <= budget or left["Submodules"] == left["Registers"] == left["State machines"] == 0
+        assert left["Registers"] == 40 or left["Submodules"] == 0
+        if 0 < left["Registers"] < 40:
+            assert f"[truncated: Registers {left['Registers']}/40 records]" in text and len(prompts.layout(s, {**left, "Registers": left["Registers"] + 1})) > budget
+    t = "module m (input clk, input [3:0] a, output reg q); reg s; sub u (.x(a)); always @(posedge clk) if (a[0]) q <= s; assign y = a + 1; endmodule"
+    rows = rtl.read_rtl(spark.createDataFrame([("r", t)], "record_id string, text string"), "port", "register", "assign", "machine", "transition", "instance")
+    p = prompts.render(rows).cache()
+    got = p.first()
+    assert "- input a, 4 bits" in got["prompt"] and "- q, 1 bit, updates at posedge of clk" in got["prompt"].replace("\n", "\n") and "- u is an instance of sub" in got["prompt"] and got["n_dropped"] == 0
+    bad = p.withColumn("prompt", F.concat(F.regexp_replace("prompt", "^Write", "Make"), F.lit("- always x[1] /home/me\nModule:\n[truncated: Registers 4/4 records]\n")))
+    assert {r["problem"] for r in prompts.faults(bad).collect()} == {"opening", "sections", "syntax", "selects", "paths", "notices"}
+    assert [r["line"] for r in prompts.invented(bad, p).collect()] == ["- always x[1] /home/me"] and prompts.invented(p, p).count() == 0
+
+
+def test_machine_questions(spark):
+    import pytest
+
+    from quillgate.operators.machine_query import Machines
+
+    t = "module m (input clk, input rst, input go, output o); localparam A = 0, B = 1, C = 2; reg [1:0] state; always @(posedge clk) if (rst) state <= A; else case (state) A: if (go) state <= B; B: state <= C; C: state <= A; endcase assign o = state == B; endmodule"
+    m = Machines(rtl.read_rtl(spark.createDataFrame([("r", t), ("q", t)], "record_id string, text string"), *rtl.MACHINES).cache())
+    assert m.fsms("confirmed").count() == 2 and m.fsm(record_id="r", register="state").first()["value"] == "binary"
+    with pytest.raises(LookupError):
+        m.fsm(register="state")
+    assert m.state("B", record_id="r").first()["n"] == 1 and m.state(2, record_id="q").first()["name"] == "C"
+    assert rows(m.outgoing("A").where("record_id = 'r'"), "to_state", "kind") == [("A", "implicit_hold"), ("B", "explicit")] and m.incoming("A").where("record_id = 'r'").count() == 3
+    assert m.guard().first()["predicate_feasibility"] == "not_analyzed" and m.outputs().count() == 2 and m.rejected().count() == 0 and m.reachability().count() == 6 and m.actions().count() == 0 and m.couplings().count() == 0
+
+
+def test_missing_includes(spark):
+    from quillgate.sources import includes
+
+    files = spark.createDataFrame([("a.v", '`include "b.vh"\n`ifdef X\n`include "ext.vh"\n`endif'), ("b.vh", '`include "lost.vh"'), ("c.v", '`include "ext.vh"')], "path string, text string")
+    r = includes.resolve(includes.directives(files), files, [])
+    assert rows(includes.missing(r), "path", "name", "kind") == [("a.v", "ext.vh", "conditional_external"), ("a.v", "lost.vh", "unresolved"), ("b.vh", "lost.vh", "unresolved"), ("c.v", "ext.vh", "unresolved")]
