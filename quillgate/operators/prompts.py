@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.tables import Scratch
 
 #: Sections in their order; those that are cut, first to last; the budget, the opening and the notice of a cut (fixed values).
 SECTIONS = ("Module", "Clocks and resets", "Registers", "Combinational logic", "State machines", "Submodules")
@@ -76,6 +77,7 @@ def sentences(rows: DataFrame) -> DataFrame:
 
 def render(rows: DataFrame, budget: int = BUDGET) -> DataFrame:
     """(record_id, module, prompt, n_bytes, n_records, n_dropped): one prompt per module of the rows."""
+    rows = Scratch(rows.sparkSession).save(rows)  # every section reads them
     x = sentences(rows).groupBy("record_id", "module").agg(F.sort_array(F.collect_list(F.struct("section", "ord", "line"))).alias("ls"))
     schema = pa.schema([("record_id", pa.string()), ("module", pa.string()), ("prompt", pa.string()), ("n_bytes", pa.int64()), ("n_records", pa.int64()), ("n_dropped", pa.int64())])
 

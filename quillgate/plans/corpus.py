@@ -96,26 +96,29 @@ def _prompts(s, d):
 
 def _vocabulary(prompts):
     """(record_id, canon): names of a text's modules, ports, signals, parameters, instances and pins."""
-    x = rtl.read_rtl(prompts.select("record_id", F.col("c").alias("text")), "module", "port", "net", "parameter", "instance", "pin")
+    x = rtl.read_rtl(rtl.spread(prompts.select("record_id", F.col("c").alias("text"))), "module", "port", "net", "parameter", "instance", "pin")
     names = x.select("record_id", F.explode(F.array(F.when(F.col("section") != "pin", F.col("name")), F.when(F.col("section") == "instance", F.col("target")), F.when((F.col("section") == "pin") & ~F.col("name").rlike(r"^\d+$"), F.col("name")))).alias("name"))
     return names.where("name is not null").groupBy("record_id").agg(F.collect_set("name").alias("canon"))
 
 
 def _measured(s, d):
     p = Scratch(s).save(_prompts(s, d))
-    x = p.join(_vocabulary(p), "record_id", "left").select("record_id", text.tokens(F.col("p")).alias("pt"), text.tokens(F.col("c")).alias("ct"), F.coalesce("canon", F.array().cast("array<string>")).alias("canon"))
-    return Scratch(s).save(x)
+    pt, ct, canon = text.tokens(F.col("p")), text.tokens(F.col("c")), F.coalesce("canon", F.array().cast("array<string>"))
+    x = p.join(_vocabulary(p), "record_id", "left").select("record_id", pt.alias("pt"), ct.alias("ct"), canon.alias("canon"), text.normalized(pt, canon).alias("pn"), text.normalized(ct, canon).alias("cn"))
+    return Scratch(s).save(x)  # as an expression a stream would be made again for every n-gram
 
 
 def prompt_overlap(s, d):
     """Share of a prompt's telling 4-grams that its completion has too, after reserved words are dropped and the module's own names are made one."""
     x = _measured(s, d)
-    x = x.select("record_id", F.size("pt").alias("prompt_tokens"), F.size("ct").alias("completion_tokens"), text.telling(text.ngrams(text.normalized(F.col("pt"), F.col("canon")), 4)).alias("pg"), text.ngrams(text.normalized(F.col("ct"), F.col("canon")), 4).alias("cg"))
+    x = x.select("record_id", F.size("pt").alias("prompt_tokens"), F.size("ct").alias("completion_tokens"), text.telling(text.ngrams(F.col("pn"), 4)).alias("pg"), text.ngrams(F.col("cn"), 4).alias("cg"))
+    x = Scratch(s).save(x)
     return x.select("record_id", "prompt_tokens", "completion_tokens", F.size("pg").alias("prompt_ngrams"), F.size(F.array_intersect("pg", "cg")).alias("shared_ngrams"), text.overlap(F.col("pg"), F.col("cg")).alias("overlap"))
 
 
 def prompt_raw_overlap(s, d):
-    x = Scratch(s).save(_prompts(s, d).select("record_id", text.ngrams(text.tokens(F.col("p")), 4).alias("pg"), text.ngrams(text.tokens(F.col("c")), 4).alias("cg")))
+    x = Scratch(s).save(_prompts(s, d).select("record_id", text.tokens(F.col("p")).alias("pt"), text.tokens(F.col("c")).alias("ct")))
+    x = Scratch(s).save(x.select("record_id", text.ngrams(F.col("pt"), 4).alias("pg"), text.ngrams(F.col("ct"), 4).alias("cg")))
     return x.select("record_id", F.size("pg").alias("prompt_ngrams"), F.size(F.array_intersect("pg", "cg")).alias("shared_ngrams"), text.overlap(F.col("pg"), F.col("cg")).alias("raw_overlap"))
 
 

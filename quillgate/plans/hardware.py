@@ -13,7 +13,7 @@ from ..sources.tables import Scratch, clean, table
 
 def _texts(s, d) -> DataFrame:
     t = F.when(F.col("input.kind") == "rtl", F.col("input.text")).otherwise(F.col("target.text"))
-    return table(s, d, "dataset_records").select("record_id", t.alias("text")).where("text is not null").distinct()
+    return rtl.spread(table(s, d, "dataset_records").select("record_id", t.alias("text")).where("text is not null"))
 
 
 def _rows(s, d, *kinds: str) -> DataFrame:

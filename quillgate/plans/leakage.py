@@ -83,7 +83,7 @@ def _prints(s, d):
     """(kind, fingerprint, ip, module): body shapes of modules and shapes of their state machines."""
     mods = _modules(s, d).select("record_id", "ip", "module")
     body = table(s, d, "record_identity").select("record_id", F.col("body_shape").alias("fingerprint")).join(mods, "record_id").select(F.lit("structural").alias("kind"), "fingerprint", "ip", "module")
-    x = rtl.read_rtl(corpus._rtl(s, d).select("record_id", "text").distinct(), "machine", "transition", "state", "output")
+    x = Scratch(s).save(rtl.read_rtl(rtl.spread(corpus._rtl(s, d).select("record_id", "text")), "machine", "transition", "state", "output"))
     st = x.where("section = 'state'").select("record_id", F.col("target").alias("reg"), "name", "n")
     tr = x.where("section = 'transition' and kind <> 'reset'").select("record_id", F.col("name").alias("reg"), F.col("value").alias("name"), F.col("target").alias("to"), "kind", F.col("context").isNotNull().alias("guarded"))
     rank = st.groupBy("record_id", "reg").agg(F.sort_array(F.collect_set(F.struct("n", "name"))).alias("s"))

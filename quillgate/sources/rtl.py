@@ -173,6 +173,14 @@ def _machines(m: Module, want, text) -> Iterator[tuple[str, dict]]:
             yield "rejected", {"name": r["register"], "kind": r["reason"], "detail": _json(r["evidence"])}
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """texts, each row once, over as many tasks as a shuffle has or as there are cores: parsing costs far more than its few bytes suggest, so small tables mustn't
+    end up in one task. The repeats are dropped in the same shuffle."""
+    spark = texts.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return texts.repartition(n, "record_id").distinct()
+
+
 def read_rtl(texts: DataFrame, *wanted: str) -> DataFrame:
     """texts (record_id, text) to section rows, of the sections named or all. Null texts and texts without a whole module give no rows; a module that breaks off is left out."""
     ship(texts.sparkSession)
