@@ -1,6 +1,8 @@
 """Operators of problems 1, 3, 6, 7 and 8 against brute force, with dirty rows, empty tables, long texts, hot groups and clashing columns."""
 
 import random
+import re
+import time
 from collections import Counter
 from difflib import SequenceMatcher
 
@@ -251,6 +253,58 @@ def test_scarce_links_hold_in_hot_keys(spark, monkeypatch):
     assert {(r["record_id_a"], r["record_id_b"]) for r in x.CrossSplit(df).pairs().collect()} == must
 
 
+def test_scarce_keys_and_bitmaps_lose_no_pair():
+    """Texts that agree by AGREE, just so, have a common key under any order, at every size and where sizes meet."""
+    rnd = random.Random(21)
+    with np.errstate(over="ignore"):
+        for n in [9, 10, 14, 15, 16, 17, 30, 31, 33, 63, 64, 70, 127, 128, 141, 250, 256, 283, 400, 520, 1100]:
+            for kind in range(3):
+                a = [rnd.randrange(3 * n if kind else 12) for _ in range(n)]
+                cut = set(rnd.sample(range(n), n - x.least_shared(n)))
+                b = [t for k, t in enumerate(a) if k not in cut] if kind == 2 else [10**6 + rnd.randrange(99) if k in cut else t for k, t in enumerate(a)]
+                salt = rnd.randrange(2**32)
+                keys = []
+                for t in (a, b):
+                    o = x.occurrences(np.array(t, np.uint64))
+                    keys.append(set(x.scarce_keys(o, np.argsort((o ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15))).tolist()))
+                same = x.lcs_length(np.array(a, np.uint64), np.array(b, np.uint64))
+                assert same < x.AGREE * max(len(a), len(b)) - 1e-9 or a == b or keys[0] & keys[1], (n, kind)
+                apart = sum(int(w).bit_count() for w in (x.token_bitmap(np.array(a, np.uint64)) ^ x.token_bitmap(np.array(b, np.uint64))).view(np.uint64))
+                assert apart <= len(a) + len(b) - 2 * same
+
+
+def test_passes_and_samples_give_the_same_pairs(spark, monkeypatch):
+    rnd = random.Random(23)
+    rows = []
+    for f in range(14):
+        w = [rnd.choice("abcdefgh") + str(rnd.randrange(20)) for _ in range([9, 10, 15, 30, 31, 60, 70, 126, 130, 200, 255, 260, 280, 300][f])]
+        rows += [(f"a{f}", "t", "train", " ".join(w)), (f"b{f}", "t", "test", " ".join("q" if k % 11 == 5 else t for k, t in enumerate(w))), (f"c{f}", "t", "test", " ".join(t for k, t in enumerate(w) if k % 12 != 3))]
+    must, _ = brute(rows)
+    df = spark.createDataFrame([(r[0], (r[1], 1), ("ip", None, "m"), r[2], ("rtl", r[3]), None, 0) for r in rows], REC)
+    monkeypatch.setattr(x, "PASS", 1500)
+    monkeypatch.setattr(x, "SLOTS", 256)
+    monkeypatch.setattr(x, "PER_SLOT", 4)
+    assert len(must) >= 25 and {(r["record_id_a"], r["record_id_b"]) for r in x.CrossSplit(df).pairs().collect()} == must
+
+
+def test_cross_split_disk_is_in_proportion(spark):
+    """Texts of few words, as many of them as there are, don't meet; neither suffixes nor shuffle files of what is written stay."""
+    rnd = random.Random(22)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(f"r{i}", "t", "train" if i % 2 else "test", " ".join(rnd.choice(words) for _ in range(100))) for i in range(400)]
+    df = spark.createDataFrame([(r[0], (r[1], 1), ("ip", None, "m"), r[2], ("rtl", r[3]), None, 0) for r in rows], REC)
+    jvm = spark.sparkContext._jvm
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+", jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toString()))
+    before = files()
+    c = x.CrossSplit(df)
+    links = c.scratch.save(c.links())
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert links.count() < 20 and not left
+
+
 def test_coverage_is_every_shared_run(spark):
     rnd = random.Random(5)
     stem = code(rnd, 60).split(" ")
