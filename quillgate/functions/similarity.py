@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +19,10 @@ from ..sources.tables import Scratch
 
 #: Similarity classes (fixed values): near duplicate, structural, informational.
 NEAR, STRUCTURAL = 0.70, 0.30
+#: Bits of the texts that are compared with one in a step: enough to make a step worth its call, and the bitmaps of all tokens stay small.
+PACKED_BITS = 1 << 14
+#: Pairs of tokens of two texts up to which they are compared by a table.
+MOST_CELLS = 1 << 22
 
 
 def length_bound(a: Column, b: Column) -> Column:
@@ -33,6 +41,135 @@ def seq_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series([1.0 if x == y else SequenceMatcher(None, x.split(" "), y.split(" "), autojunk=False).ratio() for x, y in zip(a, b)])
 
 
+def _packs(texts: list[list[str]]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are packed together."""
+    first, bits = 0, 0
+    for k, t in enumerate(texts):
+        if bits and bits + len(t) > PACKED_BITS:
+            yield first, k
+            first, bits = k, 0
+        bits += len(t) + 8
+    yield first, len(texts)
+
+
+def common_tokens(texts: list[list[str]], others: list[list[str]], until: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(k, l, tokens in the longest common subsequence) of texts[k] and others[l] for all k < until[l], which mustn't fall with l.
+
+    Bit-parallel, and many texts at once: their bits stand side by side in one number, with a gap after each that takes the carry.
+    """
+    for first, end in _packs(texts):
+        masks: dict[str, int] = {}
+        at, spans, ones = 0, [], []
+        raised: dict[str, list[int]] = {}
+        for t in texts[first:end]:
+            for p, x in enumerate(t):
+                raised.setdefault(x, []).append(at + p)
+            wide = len(t) // 8 + 1  # bytes; one bit at least is left over
+            spans.append((at // 8, wide, len(t)))
+            ones.append(((1 << len(t)) - 1) << at)
+            at += 8 * wide
+        for x, places in raised.items():
+            b = bytearray(places[-1] // 8 + 1)
+            for p in places:
+                b[p >> 3] |= 1 << (p & 7)
+            masks[x] = int.from_bytes(b, "little")
+        full = [0]
+        for o in ones:
+            full.append(full[-1] | o)
+        for l, other in enumerate(others):
+            n = min(until[l], end) - first
+            if n <= 0:
+                continue
+            v = every = full[n]
+            for x in other:
+                if m := masks.get(x):
+                    u = v & m
+                    v = ((v + u) | (v - u)) & every
+            b = v.to_bytes(at // 8, "little")
+            for k, (o, wide, length) in enumerate(spans[:n]):
+                yield first + k, l, length - int.from_bytes(b[o : o + wide], "little").bit_count()
+
+
+def ratio(a: list[str], b: list[str]) -> float:
+    """SequenceMatcher's ratio without junk. The lengths of all runs stand in a table, so the longest block of each part is one search; very long texts are left to SequenceMatcher."""
+    if len(a) * len(b) > MOST_CELLS:
+        return SequenceMatcher(None, a, b, autojunk=False).ratio()
+    ids: dict[str, int] = {}
+    x, y = (np.array([ids.setdefault(t, len(ids)) for t in z], dtype=np.int32) for z in (a, b))
+    same = x[:, None] == y[None, :]
+    runs = same.astype(np.int16 if min(len(a), len(b)) < 1 << 15 else np.int32)
+    for i in range(1, len(a)):
+        runs[i, 1:] += runs[i - 1, :-1] * same[i, 1:]
+    found, todo = 0, [(0, len(a), 0, len(b))]
+    while todo:
+        alo, ahi, blo, bhi = todo.pop()
+        part = runs[alo:ahi, blo:bhi]
+        i, j = divmod(int(part.argmax()), bhi - blo)
+        n = int(part[i, j])
+        if n > min(i, j) + 1:  # it begins outside: all runs as they are inside
+            part = np.minimum(part, np.minimum(np.arange(1, ahi - alo + 1)[:, None], np.arange(1, bhi - blo + 1)[None, :]))
+            i, j = divmod(int(part.argmax()), bhi - blo)
+            n = int(part[i, j])
+        if n:
+            found += n
+            i, j = alo + i + 1, blo + j + 1  # the block's end
+            if i - n > alo and j - n > blo:
+                todo.append((alo, i - n, blo, j - n))
+            if i < ahi and j < bhi:
+                todo.append((i, ahi, j, bhi))
+    return 2.0 * found / (len(a) + len(b))
+
+
+def closest(left: list[tuple[str, str | None, str]], right: list[tuple[str, str | None, str]] | None = None) -> float | None:
+    """Largest ratio, as seq_ratio has it, of two texts of different names and marks: of the left, or if a right is given one of each; None if there are none. Texts are (name, mark, text).
+
+    The text with the lesser name comes first. Matching blocks are a common subsequence, so pairs are compared in the order of that bound, until no other can be larger.
+    """
+    mark = lambda r: (r[1] is not None, r[1] or "")
+    sides = [(sorted(x, key=mark), sorted(y, key=mark)) for x, y in ([(left, left)] if right is None else [(left, right), (right, left)])]
+    bounds = []
+    for s, (x, y) in enumerate(sides):
+        marks = [mark(r) for r in x]
+        tx, ty = [r[2].split(" ") for r in x], [r[2].split(" ") for r in y]
+        for k, l, n in common_tokens(tx, ty, [bisect_left(marks, mark(r)) for r in y]):
+            if x[k][0] != y[l][0]:
+                bounds.append((2.0 * n / (len(tx[k]) + len(ty[l])), s, k, l))
+    best = None
+    for bound, s, k, l in sorted(bounds, reverse=True):
+        if best is not None and bound <= best:
+            break
+        a, b = sorted((sides[s][0][k], sides[s][1][l]), key=lambda r: r[0])
+        r = 1.0 if a[2] == b[2] else ratio(a[2].split(" "), b[2].split(" "))
+        best = r if best is None else max(best, r)
+    return best
+
+
+def closest_by_group(texts: DataFrame, parts: int, block: int = 256) -> DataFrame:
+    """(group_id, similarity): the closest two texts of different names and marks of each group that has such. texts: (group_id, name, mark, text), saved: it is read twice.
+
+    Texts of a group are dealt to blocks of about ``block``, and each pair of blocks is searched by itself, so a large group is cut over several tasks.
+    """
+    n = texts.groupBy("group_id").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    own = F.pmod(F.xxhash64("name"), F.col("n")).cast("int")
+    dealt = texts.join(n, "group_id").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    keys = ["group_id", "x", "y"]
+    dealt = dealt.select("group_id", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") <= F.col("other")).alias("left"), "name", "mark", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                yield from zip(*(c.to_pylist() for c in b.columns))
+
+        for (group, x, y), held in groupby(rows(), key=lambda r: r[:3]):
+            sides: tuple[list, list] = ([], [])
+            for r in held:
+                sides[not r[3]].append(r[4:])
+            if (best := closest(*sides[: 1 + (x != y)])) is not None:
+                yield pa.RecordBatch.from_pydict({"group_id": [group], "similarity": [best]})
+
+    return dealt.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "group_id string, similarity double").groupBy("group_id").agg(F.max("similarity").alias("similarity"))
+
+
 @F.pandas_udf(T.IntegerType())
 def longest_run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Longest matching block of two token arrays that holds at least one token outside the canonical vocabulary. Separators are to be left out before."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ident, similarity
-from ..sources.tables import Scratch, clean
+from ..sources.tables import Scratch, clean, spread_parts
 from .components import connected_components
 from .skew import attach_by_key, salted_join
 from .splits import HARD, SOFT, crossing
@@ -167,7 +167,8 @@ def cross_split_groups(prints: DataFrame, split: DataFrame, streams: DataFrame)
     are the same; the score is the largest similarity of two members whose sets of splits differ, 0 if there is none.
 
     prints: (kind, fingerprint, ip, module); split: (ip, module, split); streams: (ip, module, stream) of renamed tokens. Members with equal streams and splits are
-    compared once; members that only copy one another across splits score 1. A member without a text counts as an empty text.
+    compared once; members that only copy one another across splits score 1. A member without a text counts as an empty text. A group with copies in different sets
+    of splits needs no comparison; in others only pairs that could be the closest are compared (similarity.closest).
     """
     scratch = Scratch(prints.sparkSession)
     where = split.groupBy("ip", "module").agg(F.array_join(F.sort_array(F.collect_set("split")), ",").alias("splits"))
@@ -177,9 +178,9 @@ def cross_split_groups(prints: DataFrame, split: DataFrame, streams: DataFrame)
     text = streams.groupBy("ip", "module").agg(F.min("stream").alias("stream"))
     c = g.select("group_id", "ip", "module", "m", "splits").distinct().join(text, ["ip", "module"], "left").groupBy("group_id", "splits", F.coalesce("stream", F.lit("")).alias("stream")).agg(F.min("m").alias("m"))
     c = scratch.save(c)
-    side = lambda s: c.select("group_id", F.col("m").alias(f"m{s}"), F.col("splits").alias(f"w{s}"), F.col("stream").alias(f"s{s}"))
-    pairs = side("a").join(side("b"), "group_id").where("ma < mb and not (wa <=> wb)")
-    score = pairs.select("group_id", F.round(similarity.seq_ratio("sa", "sb"), 6).alias("similarity")).groupBy("group_id").agg(F.max("similarity").alias("similarity"))
+    same = c.groupBy("group_id", "stream").agg(F.min("m").alias("lo"), F.max("m").alias("hi")).where("lo <> hi").select("group_id").distinct()
+    rest = scratch.save(c.join(same, "group_id", "left_anti").select("group_id", F.col("m").alias("name"), F.col("splits").alias("mark"), F.col("stream").alias("text")))
+    score = similarity.closest_by_group(rest, spread_parts(prints.sparkSession)).select("group_id", F.round("similarity", 6).alias("similarity")).union(same.select("group_id", F.lit(1.0)))
     about = g.groupBy("group_id").agg(F.countDistinct("m").alias("n_members"), F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.split("splits", ","))))), ",").alias("splits"), F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("sources"))
     j = about.join(score, "group_id", "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
     return j.select("group_id", "n_members", "splits", "sources", "similarity", similarity.similarity_class(F.col("similarity")).alias("class"))

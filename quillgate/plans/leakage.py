@@ -79,11 +79,19 @@ def _modules(s, d):
     return r.where("ip <> '' and module <> ''")
 
 
+def _texts(s, d):
+    """(record_id, text): each different RTL text once, over all tasks, under its digest; (record_id, ip, module): the modules whose records have it. Half of the records repeat a text."""
+    t = corpus._rtl(s, d).select("record_id", "text", F.sha2("text", 256).alias("key"))
+    held = t.select("record_id", "key").join(_modules(s, d).select("record_id", "ip", "module"), "record_id").select(F.col("key").alias("record_id"), "ip", "module").distinct()
+    return rtl.spread(t.select(F.col("key").alias("record_id"), "text")), held
+
+
 def _prints(s, d):
     """(kind, fingerprint, ip, module): body shapes of modules and shapes of their state machines."""
     mods = _modules(s, d).select("record_id", "ip", "module")
     body = table(s, d, "record_identity").select("record_id", F.col("body_shape").alias("fingerprint")).join(mods, "record_id").select(F.lit("structural").alias("kind"), "fingerprint", "ip", "module")
-    x = Scratch(s).save(rtl.read_rtl(rtl.spread(corpus._rtl(s, d).select("record_id", "text")), "machine", "transition", "state", "output"))
+    texts, held = _texts(s, d)
+    x = Scratch(s).save(rtl.read_rtl(texts, "machine", "transition", "state", "output"))
     st = x.where("section = 'state'").select("record_id", F.col("target").alias("reg"), "name", "n")
     tr = x.where("section = 'transition' and kind <> 'reset'").select("record_id", F.col("name").alias("reg"), F.col("value").alias("name"), F.col("target").alias("to"), "kind", F.col("context").isNotNull().alias("guarded"))
     rank = st.groupBy("record_id", "reg").agg(F.sort_array(F.collect_set(F.struct("n", "name"))).alias("s"))
@@ -92,7 +100,7 @@ def _prints(s, d):
     outs = x.where("section = 'output'").groupBy("record_id", F.col("target").alias("reg")).agg(F.array_join(F.sort_array(F.collect_list("kind")), ";").alias("outs"))
     m = x.where("section = 'machine'").select("record_id", F.col("name").alias("reg"), F.concat_ws("|", "status", "kind", "value", F.col("n").cast("string")).alias("head"))
     shape = m.join(moves, ["record_id", "reg"], "left").join(outs, ["record_id", "reg"], "left").select("record_id", F.concat(F.lit("fsm1:"), F.substring(F.sha2(F.concat_ws("|", "head", "moves", "outs"), 256), 1, 16)).alias("fingerprint"))
-    return Scratch(s).save(body.union(shape.join(mods, "record_id").select(F.lit("fsm"), "fingerprint", "ip", "module")).distinct())
+    return Scratch(s).save(body.union(shape.join(held, "record_id").select(F.lit("fsm"), "fingerprint", "ip", "module")).distinct())
 
 
 def fingerprint_leakage(s, d):
@@ -101,7 +109,8 @@ def fingerprint_leakage(s, d):
 
 def cross_split_groups(s, d):
     """Modules that share a fingerprint across splits, by class of similarity."""
-    r = corpus._rtl(s, d).select("record_id", text.renamed(F.col("text")).alias("stream")).join(_modules(s, d).select("record_id", "ip", "module"), "record_id").select("ip", "module", "stream")
+    texts, held = _texts(s, d)
+    r = texts.select("record_id", text.renamed(F.col("text")).alias("stream")).join(held, "record_id").select("ip", "module", "stream")
     return lk.cross_split_groups(_prints(s, d), _modules(s, d).select("ip", "module", "split"), r)
 
 
