@@ -14,10 +14,15 @@ def _docs(s, d):
     return table(s, d, "documents").select("doc_id", "source", "text").where("text is not null")
 
 
+def _rtl_rows(s, d):
+    """(record_id, ip, module, task, text): RTL text of each record, as delivered."""
+    t = F.when(F.col("input.kind") == "rtl", F.col("input.text")).otherwise(F.col("target.text"))
+    return table(s, d, "dataset_records").select("record_id", F.col("module.ip").alias("ip"), F.col("module.name").alias("module"), F.col("task.id").alias("task"), t.alias("text")).where("text is not null")
+
+
 def _rtl(s, d):
     """(record_id, ip, module, task, text): RTL text of each record, once."""
-    t = F.when(F.col("input.kind") == "rtl", F.col("input.text")).otherwise(F.col("target.text"))
-    return table(s, d, "dataset_records").select("record_id", F.col("module.ip").alias("ip"), F.col("module.name").alias("module"), F.col("task.id").alias("task"), t.alias("text")).where("text is not null").distinct()
+    return _rtl_rows(s, d).distinct()
 
 
 def _records(s, d):

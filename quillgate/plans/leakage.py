@@ -81,7 +81,7 @@ def _modules(s, d):
 
 def _texts(s, d):
     """(record_id, text): each different RTL text once, over all tasks, under its digest; (record_id, ip, module): the modules whose records have it. Half of the records repeat a text."""
-    t = corpus._rtl(s, d).select("record_id", "text", F.sha2("text", 256).alias("key"))
+    t = corpus._rtl_rows(s, d).select("record_id", "text", F.sha2("text", 256).alias("key"))
     held = t.select("record_id", "key").join(_modules(s, d).select("record_id", "ip", "module"), "record_id").select(F.col("key").alias("record_id"), "ip", "module").distinct()
     return rtl.spread(t.select(F.col("key").alias("record_id"), "text")), held
 

@@ -171,6 +171,33 @@ def test_each_text_is_read_once(spark, tmp_path):
     assert texts.count() == 2 and sorted(tuple(r)[1:] for r in held.collect()) == [("x", "a"), ("x", "b"), ("x", "b")]
 
 
+def _fsm(n):
+    arms = " ".join(f"2'd{k}: if (go) st <= 2'd{(k + 1) % n};" for k in range(n))
+    return f"module m (input clk, input rst, input go, output o); reg [1:0] st; assign o = st == 2'd1; always @(posedge clk) if (rst) st <= 2'd0; else case (st) {arms} default: st <= 2'd0; endcase endmodule"
+
+
+def test_classes_of_a_record_with_several_texts(spark, tmp_path):
+    """Machines have the shape of their own text: states of another text under the same record aren't theirs."""
+    from quillgate.plans import leakage as plan
+
+    rec = lambda i, m, split, t: (i, ("x", m), split, ("rtl", t), ("none", None))
+    rows = [rec("r1", "a", "train", _fsm(2)), rec("r1", "a", "train", _fsm(3)), rec("r2", "b", "test", _fsm(2)), rec("r3", "c", "train", _fsm(4)), rec("r4", "d", "test", _fsm(3)), rec("r5", "d", "test", _fsm(3))]
+    spark.createDataFrame(rows, "record_id string, module struct<ip: string, name: string>, split string, input struct<kind: string, text: string>, target struct<kind: string, text: string>").selectExpr("*", "named_struct('id', '1') as task").write.parquet(f"{tmp_path}/dataset_records.parquet")
+    spark.createDataFrame([("r1", "h1"), ("r2", "h2")], "record_id string, body_shape string").write.parquet(f"{tmp_path}/record_identity.parquet")
+    got = plan.cross_split_classes(spark, str(tmp_path)).collect()
+    assert sum(r["n_groups"] for r in got) == 2 and sum(r["n_members"] for r in got) == 4 and max(r["highest"] for r in got) == 1.0
+
+
+def test_guards_are_read_once_for_each_register(monkeypatch):
+    from quillgate.rtl import machines
+    from quillgate.sources.rtl import sections
+
+    seen, plain = [], machines.Extractor._entry
+    monkeypatch.setattr(machines.Extractor, "_entry", lambda self, g, r: (seen.append((g, r)), plain(self, g, r))[1])
+    assert sum(r["section"] == "transition" for r in sections(_fsm(3), {"transition"})) > 3
+    assert len(seen) == len(set(seen)) > 3
+
+
 def test_edge_of_the_limit(spark):
     """0.70 is an edge, 0.6999994 isn't."""
     df = spark.createDataFrame([(0.70,), (0.6999994,), (0.3,), (0.29,)], "s double")
